@@ -153,18 +153,14 @@ def contains_join(
     )
     # At most five distinct numbers come back.
     lengths = sorted(r["_n"] for r in seeds.select("_n").distinct().collect())
-    grams = F.array_distinct(
-        F.flatten(
-            F.array(
-                *[
-                    F.expr(
-                        f"CASE WHEN length(`{text}`) >= {n} THEN transform(sequence(1, length(`{text}`) - {n - 1}),"
-                        f" i -> substring(`{text}`, i, {n})) ELSE array() END"
-                    )
-                    for n in lengths
-                ]
-            )
-        )
-    ) if lengths else F.array().cast("array<string>")
-    keyed = left.withColumn("_seed", F.explode(grams))
-    return keyed.join(seeds, [*on, "_seed"]).filter(F.contains(F.col(text), F.col(pattern))).drop("_seed", "_n")
+    keyed = None
+    for n in lengths:
+        starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
+        part = left.filter(F.length(text) >= n).select("*", F.explode(starts).alias("_at"))
+        part = part.withColumn("_seed", F.substring(text, F.col("_at"), F.lit(n))).drop("_at")
+        keyed = part if keyed is None else keyed.unionByName(part)
+    if keyed is None:
+        keyed = left.withColumn("_seed", F.lit(None).cast("string"))
+    hits = keyed.join(seeds, [*on, "_seed"]).filter(F.contains(F.col(text), F.col(pattern)))
+    # A seed may occur twice in one text.
+    return hits.drop("_seed", "_n").distinct()

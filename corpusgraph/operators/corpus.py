@@ -54,40 +54,46 @@ def related_posts(posts: DataFrame, names: DataFrame) -> DataFrame:
 # ── cases ────────────────────────────────────────────────────────────────────
 
 
-def case_membership(articles: DataFrame, doc_entity: DataFrame, case_defs: DataFrame) -> DataFrame:
+def case_rules(case_defs: DataFrame) -> DataFrame:
+    """case, kind (category, title or entity), rule from `case_defs(name, categories, titles, entities)`."""
+    kinds = {"category": "categories", "title": "titles", "entity": "entities"}
+    parts = [
+        case_defs.select(F.col("name").alias("case"), F.lit(kind).alias("kind"), F.explode(col).alias("rule"))
+        for kind, col in kinds.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def case_membership(articles: DataFrame, doc_entity: DataFrame, rules: DataFrame) -> DataFrame:
     """case, doc_id, strength: `category` for a category or title hit, else `entity`.
 
     Each rule kind is its own equi-join; the three are united and reduced.
     """
 
-    def rules(kind: str) -> DataFrame:
-        return case_defs.select(F.col("name").alias("case"), F.explode(kind).alias("rule")).distinct()
+    def of(kind: str) -> DataFrame:
+        return rules.filter(F.col("kind") == kind).select("case", "rule").distinct()
 
     cats = articles.select("doc_id", F.explode("categories").alias("rule"))
-    by_category = cats.join(rules("categories"), "rule").select("case", "doc_id", F.lit("category").alias("strength"))
+    by_category = cats.join(of("category"), "rule").select("case", "doc_id", F.lit("category").alias("strength"))
     titled = articles.select("doc_id", fold(F.col("title")).alias("_title"))
-    folded = rules("titles").withColumn("rule", fold(F.col("rule")))
+    folded = of("title").withColumn("rule", fold(F.col("rule")))
     by_title = contains_join(titled, "_title", folded, "rule").select(
         "case", "doc_id", F.lit("category").alias("strength")
     )
     mentions = doc_entity.select("doc_id", F.col("name").alias("rule"))
-    by_entity = mentions.join(rules("entities"), "rule").select("case", "doc_id", F.lit("entity").alias("strength"))
+    by_entity = mentions.join(of("entity"), "rule").select("case", "doc_id", F.lit("entity").alias("strength"))
     hits = by_category.unionByName(by_title).unionByName(by_entity)
     return hits.groupBy("case", "doc_id").agg(F.min("strength").alias("strength"))
 
 
-def case_keywords(case_defs: DataFrame) -> DataFrame:
+def case_keywords(rules: DataFrame) -> DataFrame:
     """case, keyword: phrases that show a sentence is about the case (folded)."""
-
-    def named(values: Column) -> DataFrame:
-        return case_defs.select(F.col("name").alias("case"), F.explode(values).alias("k"))
-
-    entities = named(F.col("entities"))
-    surnames = entities.withColumn("k", F.element_at(F.split(F.lower("k"), f"{WS}+"), -1)).filter(F.length("k") >= 4)
-    tokens = named(F.split(F.lower("name"), rf"[\s/]+")).filter(F.length("k") >= 4)
-    every = entities.unionByName(surnames).unionByName(named(F.col("categories")))
-    every = every.unionByName(named(F.col("titles"))).unionByName(tokens)
-    return every.select("case", fold(F.col("k")).alias("keyword")).filter("keyword <> ''").distinct()
+    named = rules.select("case", "rule")
+    surnames = rules.filter("kind = 'entity'").select("case", F.element_at(F.split("rule", f"{WS}+"), -1).alias("rule"))
+    tokens = rules.select("case").distinct().select("case", F.explode(F.split("case", r"[\s/]+")).alias("rule"))
+    short = surnames.unionByName(tokens).filter(F.length("rule") >= 4)
+    every = named.unionByName(short)
+    return every.select("case", fold(F.col("rule")).alias("keyword")).filter("keyword <> ''").distinct()
 
 
 def entity_cases(membership: DataFrame, doc_entity: DataFrame) -> DataFrame:
@@ -105,9 +111,12 @@ def case_events(membership: DataFrame, events: DataFrame, articles: DataFrame, k
     dated = events.join(published, "doc_id").filter((F.col("_day") == "") | (F.col("iso") <= F.col("_day"))).drop("_day")
     strong = dated.join(membership.filter("strength = 'category'"), "doc_id")
     weak = dated.join(membership.filter("strength = 'entity'"), "doc_id")
-    weak = contains_join(weak.withColumn("_text", fold(F.col("description"))), "_text", keywords, "keyword", ["case"])
+    weak = weak.withColumn("_text", fold(F.col("description")))
+    # Copies of a sentence are tested once per case.
+    named = contains_join(weak.select("case", "_text").distinct(), "_text", keywords, "keyword", ["case"])
+    weak = weak.join(named.select("case", "_text").distinct(), ["case", "_text"], "left_semi")
     columns = ["case", "doc_id", "ev_pos", "iso", "display", "precision", "description", "note"]
-    return strong.select(columns).unionByName(weak.select(columns).distinct())
+    return strong.select(columns).unionByName(weak.select(columns))
 
 
 def _event_key(head: int) -> Column:
@@ -149,11 +158,8 @@ def case_summary(membership: DataFrame, articles: DataFrame, timeline: DataFrame
     )
 
 
-_BY_DAY = [F.asc, "iso"], [F.asc, "doc_id"], [F.asc, "ev_pos"]
-
-
 def event_order() -> list[Column]:
-    return [fn(name) for fn, name in _BY_DAY]
+    return [F.asc("iso"), F.asc("doc_id"), F.asc("ev_pos")]
 
 
 def case_timeline_nested(summary: DataFrame, timeline: DataFrame, page_size: int = 1000) -> DataFrame:
@@ -304,7 +310,7 @@ def dashboard(
     entities: DataFrame,
     doc_entity: DataFrame,
     series: DataFrame,
-    case_defs: DataFrame,
+    rules: DataFrame,
     k: int = 25,
 ) -> DataFrame:
     """section, key, n, rank: totals, cases, content types, categories by size, top entities."""
@@ -317,7 +323,7 @@ def dashboard(
         return ranked(top.withColumn("section", F.lit(section)), ["section"], [F.desc("n"), F.asc("key")])
 
     totals = total(articles, "articles").unionByName(total(entities, "entities"))
-    totals = totals.unionByName(total(series.select("stem").distinct(), "series")).unionByName(total(case_defs, "cases"))
+    totals = totals.unionByName(total(series.select("stem").distinct(), "series")).unionByName(total(rules.select("case").distinct(), "cases"))
     totals = totals.withColumn("rank", F.lit(0).cast("long"))
     types = articles.groupBy(F.col("type").alias("key")).agg(F.count("*").alias("n"))
     cats = articles.select(F.explode("categories").alias("key")).groupBy("key").agg(F.count("*").alias("n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -62,6 +63,12 @@ def enrich(hits: DataFrame, nodes: DataFrame) -> DataFrame:
 TOKEN_BREAK = r"[\n\r\p{Z}\p{P}]+"
 
 
+def query_tokens(query: str) -> list[str]:
+    """The query cut the way documents are: at line ends, separators and punctuation."""
+    breaks = (c if c not in "\n\r" and unicodedata.category(c)[0] not in "ZP" else " " for c in query.lower())
+    return "".join(breaks).split(" ") if query.strip() else []
+
+
 @dataclass(frozen=True)
 class TextIndex:
     """postings(term, field, id, tf), lengths(id, field, length), stats(field, n_docs, avg_length), vocab(term)."""
@@ -101,9 +108,7 @@ def expand_terms(
     An exact term weighs 1; longer and misspelt forms weigh less the further
     they are. A term that is both counts as a prefix hit.
     """
-    import re
-
-    terms = list(dict.fromkeys(t for t in re.split(r"[\W_]+", query.lower()) if t))
+    terms = list(dict.fromkeys(t for t in query_tokens(query) if t))
     options = []
     for term in terms:
         n = float(len(term))
