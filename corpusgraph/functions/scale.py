@@ -52,6 +52,15 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    A plain projection may be repeated by the optimizer in every filter and
+    expression that uses it; a generator of one row is not.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality of all `keys`."""
     condition = F.lit(True)
@@ -151,6 +160,8 @@ def contains_join(
         .withColumn("_n", length)
         .withColumn("_seed", F.expr(f"substring(`{pattern}`, -_n, _n)"))
     )
+    # Written once: with its true size known, Spark broadcasts it only if small.
+    seeds = cut(seeds)
     # At most five distinct numbers come back.
     lengths = sorted(r["_n"] for r in seeds.select("_n").distinct().collect())
     keyed = None

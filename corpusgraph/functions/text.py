@@ -32,10 +32,15 @@ def squeeze(col: Column) -> Column:
     return F.trim(F.regexp_replace(col, f"{WS}+", " "))
 
 
+def last_word(col: Column) -> Column:
+    return F.regexp_extract(col, f"([^{BLANKS}]*)$", 1)
+
+
 def fold(col: Column) -> Column:
     """Lower case without accents."""
+    plain = F.octet_length(col) == F.length(col)
     bare = F.translate(F.lower(col), _FROM, _TO)
-    return F.regexp_replace(bare, r"[\u0300-\u036f]", "")
+    return F.when(plain, F.lower(col)).otherwise(F.regexp_replace(bare, r"[\u0300-\u036f]", ""))
 
 
 def contains_ai(text: Column, part: Column) -> Column:
@@ -109,11 +114,13 @@ def content_type(title: Column, category_types: Column) -> Column:
 
 
 def content_tier(kind: Column) -> Column:
-    return F.coalesce(*[F.when(kind == n, F.lit(t)) for n, t, _ in CONTENT_TYPES], F.lit("medium"))
+    tiers = F.create_map(*[F.lit(v) for n, t, _ in CONTENT_TYPES for v in (n, t)])
+    return F.coalesce(F.try_element_at(tiers, kind), F.lit("medium"))
 
 
 def content_folder(kind: Column) -> Column:
-    return F.coalesce(*[F.when(kind == n, F.lit(f)) for n, _, f in CONTENT_TYPES], F.lit("Reporting"))
+    folders = F.create_map(*[F.lit(v) for n, _, f in CONTENT_TYPES for v in (n, f)])
+    return F.coalesce(F.try_element_at(folders, kind), F.lit("Reporting"))
 
 
 def quoted(words: Sequence[str]) -> str:

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusgraph.functions.scale import contains_join, paged, ranked, top_k
-from corpusgraph.functions.text import WS, date_only, fold, safe_name, span
+from corpusgraph.functions.scale import contains_join, once, paged, ranked, top_k
+from corpusgraph.functions.text import WS, date_only, fold, last_word, safe_name, span
 
 
 # ── names and labels ─────────────────────────────────────────────────────────
@@ -38,8 +38,8 @@ def classify(articles: DataFrame, category_types: DataFrame) -> DataFrame:
     pairs = F.map_from_entries(F.collect_list(F.struct("category", "type")))
     mapping = category_types.dropDuplicates(["category"]).agg(pairs).scalar()
     typed = articles.withColumn("_map", mapping)
-    kinds = F.array_compact(F.transform("categories", lambda c: F.try_element_at("_map", c)))
-    typed = typed.withColumn("type", content_type(F.col("title"), kinds)).drop("_map")
+    typed = once(typed, _kinds=F.array_compact(F.transform("categories", lambda c: F.try_element_at("_map", c))))
+    typed = once(typed, type=content_type(F.col("title"), F.col("_kinds"))).drop("_map", "_kinds")
     return typed.withColumn("reliability", content_tier(F.col("type"))).withColumn("folder", content_folder(F.col("type")))
 
 
@@ -75,7 +75,7 @@ def case_membership(articles: DataFrame, doc_entity: DataFrame, rules: DataFrame
 
     cats = articles.select("doc_id", F.explode("categories").alias("rule"))
     by_category = cats.join(of("category"), "rule").select("case", "doc_id", F.lit("category").alias("strength"))
-    titled = articles.select("doc_id", fold(F.col("title")).alias("_title"))
+    titled = once(articles.select("doc_id", "title"), _title=fold(F.col("title"))).drop("title")
     folded = of("title").withColumn("rule", fold(F.col("rule")))
     by_title = contains_join(titled, "_title", folded, "rule").select(
         "case", "doc_id", F.lit("category").alias("strength")
@@ -89,7 +89,7 @@ def case_membership(articles: DataFrame, doc_entity: DataFrame, rules: DataFrame
 def case_keywords(rules: DataFrame) -> DataFrame:
     """case, keyword: phrases that show a sentence is about the case (folded)."""
     named = rules.select("case", "rule")
-    surnames = rules.filter("kind = 'entity'").select("case", F.element_at(F.split("rule", f"{WS}+"), -1).alias("rule"))
+    surnames = rules.filter("kind = 'entity'").select("case", last_word(F.col("rule")).alias("rule"))
     tokens = rules.select("case").distinct().select("case", F.explode(F.split("case", r"[\s/]+")).alias("rule"))
     short = surnames.unionByName(tokens).filter(F.length("rule") >= 4)
     every = named.unionByName(short)
@@ -109,14 +109,13 @@ def case_events(membership: DataFrame, events: DataFrame, articles: DataFrame, k
     """
     published = articles.select("doc_id", "note", date_only(F.col("published_at")).alias("_day"))
     dated = events.join(published, "doc_id").filter((F.col("_day") == "") | (F.col("iso") <= F.col("_day"))).drop("_day")
-    strong = dated.join(membership.filter("strength = 'category'"), "doc_id")
-    weak = dated.join(membership.filter("strength = 'entity'"), "doc_id")
-    weak = weak.withColumn("_text", fold(F.col("description")))
+    rows = once(dated, _text=fold(F.col("description"))).join(membership, "doc_id")
     # Copies of a sentence are tested once per case.
-    named = contains_join(weak.select("case", "_text").distinct(), "_text", keywords, "keyword", ["case"])
-    weak = weak.join(named.select("case", "_text").distinct(), ["case", "_text"], "left_semi")
-    columns = ["case", "doc_id", "ev_pos", "iso", "display", "precision", "description", "note"]
-    return strong.select(columns).unionByName(weak.select(columns))
+    weak = rows.filter("strength = 'entity'").select("case", "_text").distinct()
+    named = contains_join(weak, "_text", keywords, "keyword", ["case"]).select("case", "_text").distinct()
+    named = named.withColumn("_named", F.lit(True))
+    kept = rows.join(named, ["case", "_text"], "left").filter("strength = 'category' OR _named")
+    return kept.select("case", "doc_id", "ev_pos", "iso", "display", "precision", "description", "note")
 
 
 def _event_key(head: int) -> Column:
@@ -214,7 +213,7 @@ def entity_keywords(entities: DataFrame, aliases: DataFrame) -> DataFrame:
     """entity, keyword: lower-case name, aliases and surname (four letters or more)."""
     names = entities.select(F.col("name").alias("entity"), F.lower("name").alias("keyword"))
     other = aliases.select(F.col("name").alias("entity"), F.lower("alias").alias("keyword"))
-    last = names.withColumn("keyword", F.element_at(F.split("keyword", f"{WS}+"), -1)).filter(F.length("keyword") >= 4)
+    last = names.withColumn("keyword", last_word(F.col("keyword"))).filter(F.length("keyword") >= 4)
     return names.unionByName(other).unionByName(last).distinct()
 
 
@@ -342,25 +341,25 @@ def newest(posts: DataFrame, n: int) -> DataFrame:
     return posts.orderBy(F.desc("published_at"), F.asc("doc_id")).limit(n)
 
 
-PART = r"(?i)(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))part\s*#?\s*(\d+)(?!\w)"
+PART = r"(?i)(?<!\w)part\s*#?\s*(\d+)(?!\w)"
 
 
-def series_stem(title: Column, min_stem: int = 8) -> tuple[Column, Column]:
-    """(stem, part) of a "… part N …" title; null when the title has no usable stem."""
+def series_stems(posts: DataFrame, min_stem: int = 8) -> DataFrame:
+    """Add stem and part of "… part N …" titles; titles without a usable stem go."""
 
     def trimmed(s: Column) -> Column:
         s = F.regexp_replace(s, rf"[?:.\-–—,;]+{WS}*$", "")
         return F.trim(F.regexp_replace(F.regexp_replace(s, rf"^{WS}*[?:.\-–—,;]+", ""), f"{WS}+", " "))
 
-    at = F.regexp_instr(title, F.lit(PART))
-    before = trimmed(F.substring(title, F.lit(1), at - 1))
-    after = F.substring(title, at + F.length(F.regexp_extract(title, PART, 0)), F.length(title))
-    tail = trimmed(F.split(after, "[:–—-]")[0])
-    head = trimmed(F.split(before, "[:–—]")[0])
-    stem = F.when(F.length(before) < 10, tail).otherwise(head)
-    part = F.regexp_extract(title, PART, 1).try_cast("long")
-    usable = (at > 0) & (F.length(stem) >= min_stem)
-    return F.when(usable, stem), F.when(usable, part)
+    title = F.col("title")
+    found = once(posts, _hit=F.regexp_extract("title", PART, 0)).filter("_hit <> ''")
+    found = once(found, _at=F.regexp_instr("title", F.lit(PART)))
+    after = F.substring(title, F.col("_at") + F.length("_hit"), F.length(title))
+    found = once(found, _before=trimmed(F.substring(title, F.lit(1), F.col("_at") - 1)), _after=after)
+    tail, head = trimmed(F.regexp_extract("_after", "^([^:–—-]*)", 1)), trimmed(F.regexp_extract("_before", "^([^:–—]*)", 1))
+    part = F.regexp_extract("_hit", r"(\d+)", 1).try_cast("long")
+    found = once(found, stem=F.when(F.length("_before") < 10, tail).otherwise(head), part=part)
+    return found.filter(F.length("stem") >= min_stem).drop("_hit", "_at", "_before", "_after")
 
 
 def series(posts: DataFrame, curated: DataFrame, min_stem: int = 8, min_parts: int = 2) -> DataFrame:
@@ -368,10 +367,8 @@ def series(posts: DataFrame, curated: DataFrame, min_stem: int = 8, min_parts: i
 
     `curated(name, part, slug)` claims its slugs and replaces a detected series of the same name.
     """
-    stem, part = series_stem(F.col("title"), min_stem)
-    auto = posts.join(curated.select("slug"), "slug", "left_anti")
-    auto = auto.select("doc_id", "pos", stem.alias("_stem"), part.alias("part")).filter("_stem IS NOT NULL")
-    auto = auto.withColumn("_key", F.lower("_stem"))
+    auto = series_stems(posts.join(curated.select("slug"), "slug", "left_anti"), min_stem)
+    auto = auto.select("doc_id", "pos", F.col("stem").alias("_stem"), "part", F.lower("stem").alias("_key"))
     groups = auto.groupBy("_key").agg(F.count("*").alias("_n"), F.min_by("_stem", "pos").alias("stem"))
     groups = groups.filter(F.col("_n") >= min_parts)
     groups = groups.join(curated.select(F.col("name").alias("stem")).distinct(), "stem", "left_anti")

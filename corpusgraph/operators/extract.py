@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.defaults import MONTHS
-from corpusgraph.functions.scale import top_k
+from corpusgraph.functions.scale import once, top_k
 from corpusgraph.functions.text import EDGE, WS, squeeze
 
 _ASCII = (r"[A-Z][a-zA-Z'’-]+", "[A-Z]")
@@ -17,9 +17,9 @@ _UNICODE_EDGE = r"(?:(?<=[\p{L}\p{N}_])(?![\p{L}\p{N}_])|(?<![\p{L}\p{N}_])(?=[\
 def phrase_pattern(unicode: bool = False) -> str:
     """Two to four capitalised words, lower-case connectors allowed between them."""
     word, initial = _UNICODE if unicode else _ASCII
-    edge = _UNICODE_EDGE if unicode else EDGE
+    start, edge = (r"(?<![\p{L}\p{N}_])", _UNICODE_EDGE) if unicode else (r"(?<!\w)", EDGE)
     more = f"(?:{WS}+(?:(?:of|the|de|von|van|for){WS}+)?{word}){{1,3}}"
-    return rf"{edge}{word}(?:\.{initial})?{more}{edge}"
+    return rf"{start}{word}(?:\.{initial})?{more}{edge}"
 
 
 def phrase_candidates(docs: DataFrame, word_rules: DataFrame, unicode: bool = False) -> DataFrame:
@@ -32,7 +32,7 @@ def phrase_candidates(docs: DataFrame, word_rules: DataFrame, unicode: bool = Fa
     found = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(phrase_pattern(unicode)), F.lit(0)))).alias("raw"))
     name = F.regexp_replace(squeeze(F.col("raw")), r"[.,;:'’]+$", "")
     name = F.regexp_replace(name, r"(?i)['’]s$", "")
-    named = found.select("doc_id", name.alias("name")).select("doc_id", "name", F.split("name", " ").alias("w"))
+    named = once(found.select("doc_id", name.alias("name")), w=F.split("name", " "))
     named = (
         named.withColumn("weekdays", words("weekday"))
         .withColumn("calendar", words("weekday", "month"))
@@ -102,18 +102,19 @@ def kept_mentions(mentions: DataFrame, kept: DataFrame) -> DataFrame:
 # ── dates ────────────────────────────────────────────────────────────────────
 
 _MONTH = "(" + "|".join(MONTHS) + ")"
-LONG_DATE = rf"(?i){EDGE}{_MONTH}{WS}+(\d{{1,2}}),?{WS}+(\d{{4}}){EDGE}"
-MONTH_YEAR = rf"(?i){EDGE}{_MONTH}{WS}+(\d{{4}}){EDGE}"
-SLASH_DATE = rf"{EDGE}(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}){EDGE}"
-YEAR = rf"{EDGE}(\d{{4}}){EDGE}"
+# Next to a word character an ASCII word edge is one look-around.
+LONG_DATE = rf"(?i)(?<!\w){_MONTH}{WS}+(\d{{1,2}}),?{WS}+(\d{{4}})(?!\w)"
+MONTH_YEAR = rf"(?i)(?<!\w){_MONTH}{WS}+(\d{{4}})(?!\w)"
+SLASH_DATE = r"(?<!\w)(\d{1,2})/(\d{1,2})/(\d{4})(?!\w)"
+YEAR = r"(?<!\w)(\d{4})(?!\w)"
 
 
 def _month_number(name: Column) -> Column:
     return F.array_position(F.array(*[F.lit(m.lower()) for m in MONTHS]), F.lower(name)).cast("int")
 
 
-def _number(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("int")
+def _part(text: Column, pattern: str) -> Column:
+    return F.regexp_extract(text, pattern, 1)
 
 
 def _iso(year: Column, month: Column, day: Column) -> Column:
@@ -134,13 +135,15 @@ def extract_dates(docs: DataFrame, min_year: int = 1980, max_year: int = 2026) -
     def in_years(year: Column) -> Column:
         return year.between(min_year, max_year)
 
+    def dated(month: Column, day: Column, year: Column) -> Column:
+        d, y = day.cast("int"), year.cast("int")
+        return F.when(in_years(y) & d.between(1, 31) & month.between(1, 12), _iso(y, month, d))
+
     def long_date(m: Column) -> Column:
-        month, day, year = _month_number(F.regexp_extract(m, LONG_DATE, 1)), _number(m, LONG_DATE, 2), _number(m, LONG_DATE, 3)
-        return F.when(in_years(year) & day.between(1, 31), _iso(year, month, day))
+        return dated(_month_number(_part(m, r"^(\w+)")), _part(m, r"(\d+),?\D"), _part(m, r"(\d+)$"))
 
     def slash_date(m: Column) -> Column:
-        month, day, year = (_number(m, SLASH_DATE, g) for g in (1, 2, 3))
-        return F.when(in_years(year) & day.between(1, 31) & month.between(1, 12), _iso(year, month, day))
+        return dated(_part(m, r"^(\d+)").cast("int"), _part(m, r"/(\d+)/"), _part(m, r"(\d+)$"))
 
     dates = F.array_compact(
         F.concat(F.transform(matches(LONG_DATE), long_date), F.transform(matches(SLASH_DATE), slash_date))
@@ -154,39 +157,67 @@ def extract_dates(docs: DataFrame, min_year: int = 1980, max_year: int = 2026) -
     )
 
 
+# A character no text holds.
+_MARK = "\uffff"
 SENTENCE_END = rf"(?<=[.!?\"”’]){WS}+(?=[A-Z\"'“‘])"
 
 
 def sentences(docs: DataFrame) -> DataFrame:
     """doc_id, pos, sentence (trimmed)."""
-    parts = docs.select("doc_id", F.posexplode(F.split("text", SENTENCE_END)).alias("pos", "sentence"))
-    return parts.withColumn("sentence", F.regexp_replace("sentence", f"^{WS}+|{WS}+$", ""))
+    # `split` compiles its pattern for every row unless it is one plain character.
+    marked = F.regexp_replace("text", SENTENCE_END, _MARK)
+    parts = docs.select("doc_id", F.posexplode(F.split(marked, _MARK)).alias("pos", "sentence"))
+    return once(parts.withColumnRenamed("sentence", "_s"), sentence=F.regexp_replace("_s", f"^{WS}+|{WS}+$", "")).drop("_s")
+
 
+def _first_date(rows: DataFrame, s: str, min_year: int, max_year: int) -> DataFrame:
+    """Add iso, display, precision of the earliest valid date in column `s`; rows without one go.
 
-def _first_date(s: Column, min_year: int, max_year: int) -> Column:
-    """Earliest valid date; only the first match of each form is considered."""
+    Only the first match of each form is considered.
+    """
+    forms = {"_long": LONG_DATE, "_slash": SLASH_DATE, "_month": MONTH_YEAR}
+    rows = once(rows, **{name: F.regexp_extract(s, p, 0) for name, p in forms.items()})
+    rows = rows.filter("_long <> '' OR _slash <> '' OR _month <> ''")
+
+    def number(name: str, group: int) -> Column:
+        return F.regexp_extract(name, forms[name], group).try_cast("int")
+
+    def named(name: str) -> Column:
+        return _month_number(F.regexp_extract(name, forms[name], 1))
+
+    shape = {
+        "_long": (named("_long"), number("_long", 2), number("_long", 3)),
+        "_slash": (number("_slash", 1), number("_slash", 2), number("_slash", 3)),
+        "_month": (named("_month"), F.lit(1), number("_month", 2)),
+    }
+    rows = once(
+        rows,
+        **{
+            f"{name}_date": F.when(F.col(name) != "", F.struct(m.alias("m"), d.alias("d"), y.alias("y")))
+            for name, (m, d, y) in shape.items()
+        },
+    )
+    names = F.array(*[F.lit(m) for m in MONTHS])
 
-    def candidate(pattern: str, month: Column, day: Column | None, year: Column, valid: Column) -> Column:
-        name = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.when(month.between(1, 12), month).otherwise(1))
-        shown = F.concat_ws(" ", name, F.concat(day.cast("string"), F.lit(",")) if day is not None else F.lit(None), year.cast("string"))
+    def candidate(name: str) -> Column:
+        m, d, y = (F.col(f"{name}_date.{k}") for k in "mdy")
+        word, year = F.get(names, m - 1), y.cast("string")
+        coarse = name == "_month"
+        shown = F.concat_ws(" ", word, year) if coarse else F.concat_ws(" ", word, F.concat(d.cast("string"), F.lit(",")), year)
         return F.when(
-            valid & year.between(min_year, max_year),
+            m.between(1, 12) & d.between(1, 31) & y.between(min_year, max_year),
             F.struct(
-                F.regexp_instr(s, F.lit(pattern)).alias("at"),
-                F.lit(1 if day is None else 0).alias("coarse"),
-                _iso(year, month, day if day is not None else F.lit(1)).alias("iso"),
+                F.regexp_instr(s, F.lit(forms[name])).alias("at"),
+                F.lit(int(coarse)).alias("coarse"),
+                _iso(y, m, d).alias("iso"),
                 shown.alias("display"),
-                F.lit("month" if day is None else "day").alias("precision"),
+                F.lit("month" if coarse else "day").alias("precision"),
             ),
         )
 
-    month, day, year = _month_number(F.regexp_extract(s, LONG_DATE, 1)), _number(s, LONG_DATE, 2), _number(s, LONG_DATE, 3)
-    full = candidate(LONG_DATE, month, day, year, day.between(1, 31))
-    month, day, year = (_number(s, SLASH_DATE, g) for g in (1, 2, 3))
-    slash = candidate(SLASH_DATE, month, day, year, day.between(1, 31) & month.between(1, 12))
-    month, year = _month_number(F.regexp_extract(s, MONTH_YEAR, 1)), _number(s, MONTH_YEAR, 2)
-    coarse = candidate(MONTH_YEAR, month, None, year, month > 0)
-    return F.array_min(F.array_compact(F.array(full, slash, coarse)))
+    rows = once(rows, _first=F.array_min(F.array_compact(F.array(*[candidate(n) for n in forms]))))
+    scratch = [c for c in rows.columns if c.startswith(("_long", "_slash", "_month"))]
+    return rows.drop(*scratch).filter("_first IS NOT NULL").select("*", "_first.iso", "_first.display", "_first.precision").drop("_first")
 
 
 def _description(s: Column) -> Column:
@@ -201,19 +232,15 @@ def extract_events(docs: DataFrame, min_year: int = 1980, max_year: int = 2026)
     long_enough = sentences(docs).filter(F.length("sentence") >= 12)
     # A cheap test first: a date needs a digit.
     dated = long_enough.filter(F.col("sentence").rlike(r"\d{4}"))
-    events = (
-        dated.withColumn("d", _first_date(F.col("sentence"), min_year, max_year))
-        .filter("d IS NOT NULL")
-        .select(
-            "doc_id",
-            F.col("pos").alias("ev_pos"),
-            "d.iso",
-            "d.display",
-            "d.precision",
-            _description(F.col("sentence")).alias("description"),
-        )
-        .filter(F.length("description") >= 12)
-        .withColumn("_head", F.lower(F.substring("description", 1, 80)))
+    events = once(_first_date(dated, "sentence", min_year, max_year), description=_description(F.col("sentence")))
+    events = events.filter(F.length("description") >= 12).select(
+        "doc_id",
+        F.col("pos").alias("ev_pos"),
+        "iso",
+        "display",
+        "precision",
+        "description",
+        F.lower(F.substring("description", 1, 80)).alias("_head"),
     )
     return top_k(events, ["doc_id", "iso", "_head"], [F.col("ev_pos")], 1, "_rn").drop("_head", "_rn")
 

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.defaults import TITLES, TYPE_MARKERS
-from corpusgraph.functions.text import EDGE, WS
+from corpusgraph.functions.scale import cut, once
+from corpusgraph.functions.text import BLANKS, EDGE, WS, last_word
 
 
 def canonical_name(name: Column, titles: Sequence[str] = TITLES) -> Column:
@@ -61,14 +62,9 @@ def entity_type(
 
 def canonical_mentions(mentions: DataFrame, titles: Sequence[str] = TITLES) -> DataFrame:
     """doc_id, name, judge, first_pos: one row per document and canonical name."""
-    canon = mentions.select(
-        "doc_id",
-        canonical_name(F.col("name"), titles).alias("canon"),
-        is_judge(F.col("name")).alias("judge"),
-        "first_pos",
-    )
+    raw = once(mentions.select("doc_id", "name", "first_pos"), judge=is_judge(F.col("name")), _canon=canonical_name(F.col("name"), titles))
     return (
-        canon.groupBy("doc_id", F.col("canon").alias("name"))
+        raw.groupBy("doc_id", F.col("_canon").alias("name"))
         .agg(F.bool_or("judge").alias("judge"), F.min("first_pos").alias("first_pos"))
     )
 
@@ -81,14 +77,14 @@ def group_canonical(canon: DataFrame) -> DataFrame:
 
 
 def _ends(persons: DataFrame) -> DataFrame:
-    tokens = F.split("name", f"{WS}+")
-    named = persons.withColumn("_t", tokens).filter(F.size("_t") >= 2)
-    return named.withColumn("first", F.lower(F.col("_t")[0])).withColumn("last", F.lower(F.element_at("_t", -1)))
+    named = persons.filter(F.col("name").rlike(WS))
+    first = F.regexp_extract("name", f"^([^{BLANKS}]*)", 1)
+    return named.withColumn("first", F.lower(first)).withColumn("last", F.lower(last_word(F.col("name"))))
 
 
 def persons(typed: DataFrame) -> DataFrame:
     """Names with two or more tokens that are people or judges, with their first and last token."""
-    return _ends(typed.filter((F.col("type") == "People") | F.col("judge"))).drop("_t")
+    return _ends(typed.filter((F.col("type") == "People") | F.col("judge")))
 
 
 def merge_first_last(people: DataFrame) -> DataFrame:
@@ -207,14 +203,24 @@ def resolve(
     titles: Sequence[str] = TITLES,
     markers: Sequence[tuple[str, str]] = TYPE_MARKERS,
 ) -> dict[str, DataFrame]:
-    """The whole chain: canonical, typed, merged and linked entities."""
-    canon = canonical_mentions(mentions, titles)
-    typed = entity_type(group_canonical(canon), overrides, programs, markers)
-    merged = merge_first_last(persons(typed))
+    """Every table of the chain: canonical, typed, merged and linked entities.
+
+    Tables that several later steps read are written once instead of being
+    derived from the text again.
+    """
+    canon = cut(canonical_mentions(mentions, titles))
+    typed = cut(entity_type(group_canonical(canon), overrides, programs, markers))
+    merged = cut(merge_first_last(persons(typed)))
     aliases, families = merge_surnames(typed, merged)
-    alias = resolve_alias(merged, aliases)
+    alias = cut(resolve_alias(merged, aliases))
     entities, doc_entity, entity_aliases = build_entities(canon, typed, alias)
     return {
+        "canon": canon,
+        "typed": typed,
+        "merged": merged,
+        "surnames": aliases,
+        "families": families,
+        "alias": alias,
         "entities": attach_parents(entities, containment, families, overrides, programs, markers),
         "doc_entity": doc_entity,
         "aliases": entity_aliases,

@@ -60,7 +60,7 @@ def enrich(hits: DataFrame, nodes: DataFrame) -> DataFrame:
 
 # ── ranked full text ─────────────────────────────────────────────────────────
 
-TOKEN_BREAK = r"[\n\r\p{Z}\p{P}]+"
+TOKEN = r"[^\n\r\p{Z}\p{P}]+"
 
 
 def query_tokens(query: str) -> list[str]:
@@ -87,7 +87,7 @@ def build_index(docs: DataFrame, fields: tuple[str, ...] = ("title", "content"))
     """
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     rows = docs.select("id", F.inline(pairs)).filter("text IS NOT NULL")
-    tokens = F.filter(F.split(F.lower("text"), TOKEN_BREAK), lambda t: t != "")
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))
     tokenised = rows.select("id", "field", tokens.alias("tokens"))
     lengths = tokenised.select("id", "field", F.size(F.array_distinct("tokens")).cast("long").alias("length"))
     postings = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,7 +115,7 @@ def contains_ai(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "extract_dates",
     """SELECT doc_id, array_to_string(list_sort(list_distinct([strftime(shipped, '%Y-%m-%d'), strftime(o_orderdate, '%Y-%m-%d')])), ',') AS dates,
-          array_to_string(list_sort(list_distinct([year(shipped), year(o_orderdate)])), ',') AS years FROM d_articles""",
+          array_to_string(list_sort(list_distinct(list_filter([year(shipped), year(o_orderdate), l_partkey], lambda x: x BETWEEN 1980 AND 2026))), ',') AS years FROM d_articles""",
 )
 def extract_dates(spark: SparkSession, sf: str) -> DataFrame:
     found = X.extract_dates(K.articles(spark, sf))
@@ -122,10 +124,10 @@ def extract_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "sentences",
-    r"""SELECT doc_id, count(*) AS n, sum(length(s)) AS total FROM (
+    r"""SELECT doc_id, count(*) AS n, CAST(sum(length(s)) AS BIGINT) AS total FROM (
           SELECT doc_id, trim(unnest(string_split(regexp_replace(regexp_replace(text,
             '([.!?"”’])[\s\x{00a0}]+([A-Z"''“‘])', E'\\1\x01\\2', 'g'),
-            '([.!?"”’])[\s\x{00a0}]+([A-Z"''“‘])', E'\\1\x01\\2', 'g'), chr(1))), E' \t\n\r\u00a0') AS s FROM documents)
+            '([.!?"”’])[\s\x{00a0}]+([A-Z"''“‘])', E'\\1\x01\\2', 'g'), chr(1))), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS s FROM documents)
         GROUP BY doc_id""",
 )
 def sentences(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,20 +144,27 @@ def dated_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 class CaseTables:
-    """The shared inputs of the case queries."""
+    """The shared inputs of the case queries; what several steps read is written once."""
 
     def __init__(self, spark: SparkSession, sf: str) -> None:
-        self.articles = K.articles(spark, sf)
+        self.articles = cut(K.articles(spark, sf))
         self.doc_entity = K.doc_entity(spark, sf)
-        self.rules = K.case_rules(spark, sf)
-        self.membership = C.case_membership(self.articles, self.doc_entity, self.rules)
+        # Configuration is written first, so its true size decides how it is joined.
+        self.rules = cut(K.case_rules(spark, sf))
+
+    @cached_property
+    def membership(self) -> DataFrame:
+        return cut(C.case_membership(self.articles, self.doc_entity, self.rules))
+
+    @cached_property
+    def extracted(self) -> DataFrame:
+        return cut(X.extract_events(self.articles))
 
-    @property
+    @cached_property
     def events(self) -> DataFrame:
-        found = X.extract_events(self.articles)
-        return C.case_events(self.membership, found, self.articles, C.case_keywords(self.rules))
+        return C.case_events(self.membership, self.extracted, self.articles, C.case_keywords(self.rules))
 
-    @property
+    @cached_property
     def timeline(self) -> DataFrame:
         return C.case_timeline(self.events)
 
@@ -289,11 +298,12 @@ def entity_events(spark: SparkSession, sf: str) -> DataFrame:
     return _entity_events(spark, sf).select("entity", "doc_id", "iso", "description")
 
 
-def _entity_events(spark: SparkSession, sf: str) -> DataFrame:
+def _entity_events(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    events = X.extract_events(K.articles(spark, sf)) if events is None else events
     bridge = K.doc_entity(spark, sf)
     names = bridge.select("name").distinct()
     none = spark.createDataFrame([], "name string, alias string")
-    return C.entity_events(X.extract_events(K.articles(spark, sf)), bridge, C.entity_keywords(names, none))
+    return C.entity_events(events, bridge, C.entity_keywords(names, none))
 
 
 @query(
@@ -311,9 +321,9 @@ def event_index(spark: SparkSession, sf: str) -> DataFrame:
     def path(folder: str, name: str):
         return F.concat(F.lit(folder + "/"), name, F.lit(".md")).alias("path")
 
-    own = X.extract_events(t.articles).join(t.articles.select("doc_id", "note"), "doc_id")
+    own = t.extracted.join(t.articles.select("doc_id", "note"), "doc_id")
     own = own.select("*", path("Reporting", "note"), F.col("note").alias("source"))
-    ents = _entity_events(spark, sf).select("*", path("Entities", "entity"), F.col("doc_id").alias("source"))
+    ents = _entity_events(spark, sf, t.extracted).select("*", path("Entities", "entity"), F.col("doc_id").alias("source"))
     cases = t.timeline.select("*", path("Cases", "case"), F.col("note").alias("source"))
     return C.event_index(own, ents, cases).select("path", "rank", "iso", "description", "source")
 
@@ -453,9 +463,9 @@ def _rules(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "upsert_latest",
-    """SELECT o_orderkey AS id, coalesce(status, o_orderstatus) AS status, strftime(coalesce(at, o_orderdate), '%Y-%m-%d') AS at FROM orders
-        LEFT JOIN (SELECT l_orderkey, max((l_shipdate, l_linestatus)) AS m, m[1] AS at, m[2] AS status FROM (
-          SELECT l_orderkey, l_shipdate, l_linestatus FROM lineitem) GROUP BY 1) ON l_orderkey = o_orderkey""",
+    """SELECT o_orderkey AS id, coalesce(l_linestatus, o_orderstatus) AS status, strftime(coalesce(l_shipdate, o_orderdate), '%Y-%m-%d') AS "at" FROM orders
+        LEFT JOIN (SELECT l_orderkey, l_shipdate, l_linestatus FROM lineitem
+          QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linestatus DESC) = 1) ON l_orderkey = o_orderkey""",
 )
 def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
     base = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("at"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusgraph.functions.scale import once
 from corpusgraph.functions.text import safe_name
 
 
@@ -83,7 +84,7 @@ def mentions(spark: SparkSession, sf: str) -> DataFrame:
     third = F.col("l_suppkey") % 3
     given = F.when(F.col("s_nationkey") % 3 == 0, "Ada").when(third == 0, "Bram").when(third == 1, "Cleo").otherwise("Dirk")
     family = F.concat(F.initcap(F.replace("r_name", F.lit(" "), F.lit(""))), F.char(F.col("n_nationkey") + 97))
-    rows = rows.withColumn("g", given).withColumn("f", family)
+    rows = once(rows, g=given, f=family)
     line = F.col("l_linenumber")
     name = (
         F.when(line == 1, F.concat_ws(" ", "g", "f"))
@@ -94,9 +95,8 @@ def mentions(spark: SparkSession, sf: str) -> DataFrame:
         .when(line == 6, F.concat("f", F.lit(" County")))
         .otherwise(F.concat("f", F.lit(" County District Attorney")))
     )
-    return rows.select(
-        F.col("l_orderkey").alias("doc_id"), name.alias("name"), (F.col("l_orderkey") * 10 + line).alias("first_pos")
-    )
+    rows = once(rows, name=name)
+    return rows.select(F.col("l_orderkey").alias("doc_id"), "name", (F.col("l_orderkey") * 10 + line).alias("first_pos"))
 
 
 def series_posts(spark: SparkSession, sf: str) -> DataFrame:
