@@ -61,12 +61,13 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of all `keys`."""
+def _stitch(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join the small summary on `keys`, nulls matching nulls."""
+    renamed = summary.withColumnsRenamed({k: f"_s_{k}" for k in keys})
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_s_{key}"))
+    return rows.join(renamed, condition)
 
 
 def _placed(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -86,9 +87,9 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: s
         .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
-    joined = local.join(sizes, same(local, sizes, ["_part", *group]))
+    joined = _stitch(local, sizes, ["_part", *group])
     return joined.select(
-        *[local[c] for c in df.columns], (F.col("_rn") + F.col("_offset")).cast("long").alias(name)
+        *df.columns, (F.col("_rn") + F.col("_offset")).cast("long").alias(name)
     )
 
 
@@ -104,7 +105,7 @@ def with_neighbours(
     firsts = local.filter("_lag IS NULL").select(*keys, F.col(value).alias("_first"))
     lasts = local.filter("_lead IS NULL").select(*keys, F.col(value).alias("_last"))
     # One row per (partition, group): as small as the number of partitions.
-    edges = firsts.join(lasts, same(firsts, lasts, keys)).select(*[firsts[k] for k in keys], "_first", "_last")
+    edges = _stitch(firsts, lasts, keys).select(*keys, "_first", "_last")
     parts = W.partitionBy(*group).orderBy("_part")
     whole = parts.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     edges = edges.select(
@@ -112,9 +113,8 @@ def with_neighbours(
         F.coalesce(F.lag("_last").over(parts), F.last("_last").over(whole)).alias("_before"),
         F.coalesce(F.lead("_first").over(parts), F.first("_first").over(whole)).alias("_after"),
     )
-    joined = local.join(edges, same(local, edges, keys))
-    return joined.select(
-        *[local[c] for c in df.columns],
+    return _stitch(local, edges, keys).select(
+        *df.columns,
         F.coalesce("_lag", "_before").alias(prev),
         F.coalesce("_lead", "_after").alias(next_),
     )

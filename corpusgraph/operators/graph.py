@@ -203,7 +203,8 @@ def visible_subgraph(nodes: DataFrame, links: DataFrame, *filters: DataFrame) ->
     seen = nodes
     for ids in filters:
         seen = seen.join(ids.select("id").distinct(), "id", "left_semi")
-    ids = seen.select("id")
+    # Read once per end of a link: written first, so the filters run once.
+    ids = cut(seen.select("id"))
     shown = links.join(ids.withColumnRenamed("id", "source"), "source", "left_semi")
     return seen, shown.join(ids.withColumnRenamed("id", "target"), "target", "left_semi")
 

@@ -54,7 +54,7 @@ def note_tags(body: Column) -> Column:
         inline != "", F.transform(F.split(inline, ","), lambda t: F.regexp_replace(F.trim(t), "['\"]", ""))
     ).otherwise(F.array().cast("array<string>"))
     bullets = F.regexp_extract(front, rf"tags:{WS}*\n((?:{WS}+-{WS}+.+\n?)+)", 1)
-    items = F.transform(F.regexp_extract_all(bullets, F.lit(rf"-{WS}+(.+)"), F.lit(1)), F.trim)
+    items = F.transform(F.regexp_extract_all(bullets, F.lit(rf"-{WS}+(.+)"), F.lit(1)), lambda t: F.trim(t))
     tokens = F.regexp_extract_all(body, F.lit("#([a-zA-Z0-9_/-]+)"), F.lit(1))
     return F.array_distinct(F.concat(listed, items, tokens))
 
@@ -106,7 +106,8 @@ def bodies(notes: DataFrame) -> DataFrame:
 def _stripped(body: Column) -> Column:
     """Text below the front matter block, if the note has one."""
     end = F.locate("\n---", body, 4)
-    return F.when(body.startswith("---") & (end > 0), F.substring(body, end + 4, F.length(body))).otherwise(body)
+    below = F.regexp_replace(F.substring(body, end + 4, F.length(body)), f"^{WS}+|{WS}+$", "")
+    return F.when(body.startswith("---") & (end > 0), below).otherwise(body)
 
 
 def front_matter_map(notes: DataFrame) -> DataFrame:
@@ -145,7 +146,7 @@ def front_matter_map(notes: DataFrame) -> DataFrame:
         inner = F.split(F.substring(flat, F.lit(2), F.length(flat) - 2), ",")
         return (
             F.when(flat.isNull(), F.array().cast("array<string>"))
-            .when(flat.startswith("["), F.filter(F.transform(inner, F.trim), lambda t: t != ""))
+            .when(flat.startswith("["), F.filter(F.transform(inner, lambda t: F.trim(t)), lambda t: t != ""))
             .when(flat == "", items)
             .otherwise(F.array(flat))
         )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.text import quoted
-from corpusgraph.operators.tags import has_tags
+from corpusgraph.operators.tags import has_tag, has_tags
 
 # ── term scoring and the search box ──────────────────────────────────────────
 
@@ -22,7 +22,7 @@ def term_search(nodes: DataFrame, query: str, k: int = 20) -> DataFrame:
         score = (
             score
             + F.when(F.contains(F.lower("label"), F.lit(term)), 10).otherwise(0)
-            + F.when(F.exists("tags", lambda t, b=bare: F.contains(F.lower(t), F.lit(b))), 8).otherwise(0)
+            + F.when(has_tag(F.col("tags"), bare), 8).otherwise(0)
             + F.when(F.contains(F.lower("excerpt"), F.lit(term)), 3).otherwise(0)
             + F.when(F.contains(F.col("id"), F.lit(term)), 5).otherwise(0)
         )

@@ -30,13 +30,19 @@ def tag_pairs(nodes: DataFrame, min_shared: int = 3, only: DataFrame | None = No
     return pairs.select(F.col("a").alias("tag_a"), F.col("b").alias("tag_b"), F.col("n").alias("shared"))
 
 
+def has_tag(tags: Column, wanted: str, exact: bool = False) -> Column:
+    """The wanted tag is (part of) some tag, ignoring case."""
+    low = F.lit(wanted.lower())
+    if exact:
+        return F.exists(tags, lambda t: F.lower(t) == low)
+    return F.exists(tags, lambda t: F.contains(F.lower(t), low))
+
+
 def has_tags(tags: Column, wanted: Sequence[str], exact: bool = False) -> Column:
-    """Every wanted tag is (part of) some tag, ignoring case."""
+    """Every wanted tag is present."""
     ok = F.lit(True)
     for want in wanted:
-        w = want.lower()
-        hit = (lambda t, w=w: F.lower(t) == w) if exact else (lambda t, w=w: F.contains(F.lower(t), F.lit(w)))
-        ok = ok & F.exists(tags, hit)
+        ok = ok & has_tag(tags, want, exact)
     return ok
 
 

@@ -40,7 +40,7 @@ def timelapse(nodes: DataFrame, col: str = "created_at", days_per_frame: int = 1
     frame, a number bounded by the calendar.
     """
     step = days_per_frame * 86_400_000_000
-    at = F.unix_micros(col)
+    at = F.unix_micros(F.col(col).cast("timestamp"))
     low, high = nodes.agg(F.min(at)).scalar(), nodes.agg(F.max(at)).scalar()
     counts = (
         nodes.filter(F.col(col).isNotNull())

@@ -340,7 +340,7 @@ def hubs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "author_hubs",
-    """SELECT author AS name, count(*) AS article_count, 0 AS page, string_agg(note, '|' ORDER BY note) AS articles FROM d_articles GROUP BY 1""",
+    """SELECT author AS name, count(*) AS article_count, 0::BIGINT AS page, string_agg(note, '|' ORDER BY note) AS articles FROM d_articles GROUP BY 1""",
 )
 def author_hubs(spark: SparkSession, sf: str) -> DataFrame:
     return C.hubs(K.articles(spark, sf), "authors").withColumn("articles", F.array_join("articles", "|"))

@@ -152,6 +152,24 @@ VIEWS = {
         SELECT doc_id, source || '/doc ' || doc_id || '.md' AS path, source || '/doc-' || doc_id AS id,
           '---' || chr(10) || 'tags: [' || lang || ', ' || source || ']' || chr(10) || '---' || chr(10) || text AS body
         FROM documents""",
+    "d_docparsed": r"""
+        SELECT id, coalesce(nullif(trim(regexp_extract(body, '(?m)^#\s+(.+)$', 1)), ''), 'doc ' || doc_id) AS label,
+          list_concat([lang, source], regexp_extract_all(body, '#([a-zA-Z0-9_/-]+)', 1)) AS tags,
+          left(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(stripped, '(?m)^#+\s+.+$', '', 'g'),
+            '\[\[([^\]]+)\]\]', '\1', 'g'), '[*_`]', '', 'g'), '\n+', ' ', 'g')), 120) AS excerpt,
+          trim(regexp_replace(regexp_replace(regexp_replace(stripped,
+            '\[\[([^\]|]+)(?:\|[^\]]+)?\]\]', '\1', 'g'), '[*_`#]', '', 'g'), '\n+', ' ', 'g')) AS body
+        FROM (SELECT n.*, lang, source, regexp_replace(body, '^---\n[\s\S]*?\n---\n?', '') AS stripped
+          FROM d_docnotes n JOIN documents USING (doc_id))""",
+    "d_wikilinks": """
+        SELECT source, 0 AS pos, target FROM d_links WHERE source LIKE 'nations/%'
+        UNION ALL SELECT source, 0, split_part(target, '/', 2) FROM d_links WHERE source LIKE 'suppliers/%'
+        UNION ALL SELECT source, 1, split_part(source, '/', 2) FROM d_links WHERE source LIKE 'suppliers/%'
+        UNION ALL SELECT source, 0, target FROM d_links WHERE source LIKE 'customers/%'
+        UNION ALL SELECT source, 1, 'missing-desk' FROM d_links WHERE source LIKE 'customers/%'
+        UNION ALL SELECT source, 0, split_part(target, '/', 2) FROM d_links WHERE source LIKE 'orders/%'
+        UNION ALL SELECT source, CASE WHEN target LIKE 'orders/%' THEN 0 ELSE 1 END, split_part(target, '/', 2)
+        FROM d_links WHERE source LIKE 'shipments/%'""",
     "d_tags": "SELECT id, unnest(tags) AS tag FROM d_nodes",
     "d_tag_counts": "SELECT tag, count(*) AS n FROM d_tags GROUP BY tag",
     "d_top": "SELECT * FROM d_tag_counts WHERE n >= 5 ORDER BY n DESC, tag LIMIT 24",
