@@ -52,6 +52,16 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when the input has fewer splits than that.
+
+    For text work on a few large files. Inputs with enough splits, which is
+    every large one, are returned as they are and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that are computed exactly once per row.
 

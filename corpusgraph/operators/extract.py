@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.defaults import MONTHS
-from corpusgraph.functions.scale import once, top_k
+from corpusgraph.functions.scale import cut, once, top_k
 from corpusgraph.functions.text import EDGE, WS, squeeze
 
 _ASCII = (r"[A-Z][a-zA-Z'’-]+", "[A-Z]")
@@ -60,26 +60,32 @@ def gazetteer_mentions(docs: DataFrame, gazetteer: DataFrame) -> DataFrame:
     Text is cut at word edges; a whole-word hit is a run of pieces equal to
     the name, so matching is an equi-join whatever the gazetteer size.
     """
-    names = gazetteer.select(
-        "name",
-        "case_sensitive",
-        F.lower("name").alias("_key"),
-        F.size(F.regexp_extract_all("name", F.lit(_PIECE), F.lit(0))).alias("_n"),
+    names = cut(
+        gazetteer.select(
+            "name",
+            "case_sensitive",
+            F.lower("name").alias("_key"),
+            F.size(F.regexp_extract_all("name", F.lit(_PIECE), F.lit(0))).alias("_n"),
+            F.col("name").rlike(r"^\w").alias("_word"),
+        )
     )
-    # The distinct piece counts of configured names: a handful of numbers.
-    counts = sorted(r["_n"] for r in names.select("_n").distinct().collect())
+    # The distinct shapes of configured names: a handful of rows.
+    shapes = sorted((r["_n"], r["_word"]) for r in names.select("_n", "_word").distinct().collect())
     pieces = docs.select("doc_id", F.regexp_extract_all("text", F.lit(_PIECE), F.lit(0)).alias("_p"))
-    runs = [
-        F.expr(
-            f"CASE WHEN size(_p) >= {n} THEN transform(sequence(1, size(_p) - {n - 1}),"
-            f" i -> concat_ws('', slice(_p, i, {n}))) ELSE array() END"
-        )
-        for n in counts
-    ]
     # A run at either end of the text counts only if that end is a word.
-    inner = pieces.withColumn("_p", F.expr(r"filter(_p, (x, i) -> x rlike '\\w' OR (i > 0 AND i < size(_p) - 1))"))
-    grams = inner.select("doc_id", F.explode(F.array_distinct(F.flatten(F.array(*runs)))).alias("_gram"))
-    keyed = grams.withColumn("_key", F.lower("_gram"))
+    inner = once(pieces, _q=F.expr(r"filter(_p, (x, i) -> x rlike '\\w' OR (i > 0 AND i < size(_p) - 1))"))
+    inner = once(inner.select("doc_id", "_q"), _w=F.when(F.get("_q", F.lit(0)).rlike(r"\w"), 0).otherwise(1))
+    runs = []
+    for n, word in shapes:
+        run = ", ".join(f"get(_q, i + {k})" for k in range(n))
+        # Words and gaps alternate, so runs that open with a word start at every other piece.
+        start = "_w" if word else "1 - _w"
+        last = f"size(_q) - {n}"
+        runs.append(
+            F.expr(f"CASE WHEN {last} >= {start} THEN transform(sequence({start}, {last}, 2), i -> concat({run})) ELSE array() END")
+        )
+    found = F.array_distinct(F.flatten(F.array(*runs))) if runs else F.array().cast("array<string>")
+    keyed = inner.select("doc_id", F.explode(found).alias("_gram")).withColumn("_key", F.lower("_gram"))
     hits = keyed.join(names, "_key").filter(~F.col("case_sensitive") | (F.col("_gram") == F.col("name")))
     return hits.select("doc_id", "name").distinct()
 

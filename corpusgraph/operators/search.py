@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusgraph.functions.scale import cut, once
 from corpusgraph.functions.text import quoted
 from corpusgraph.operators.tags import has_tag, has_tags
 
@@ -80,7 +81,7 @@ class TextIndex:
 
 
 def build_index(docs: DataFrame, fields: tuple[str, ...] = ("title", "content")) -> TextIndex:
-    """Tables of an inverted index over `docs(id, <fields>)`.
+    """Tables of an inverted index over `docs(id, <fields>)`, written once and read by every search.
 
     Term counts are summed inside each document before the shuffle; a field's
     length is its number of distinct terms.
@@ -88,13 +89,14 @@ def build_index(docs: DataFrame, fields: tuple[str, ...] = ("title", "content"))
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     rows = docs.select("id", F.inline(pairs)).filter("text IS NOT NULL")
     tokens = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))
-    tokenised = rows.select("id", "field", tokens.alias("tokens"))
+    tokenised = once(rows, tokens=tokens)
     lengths = tokenised.select("id", "field", F.size(F.array_distinct("tokens")).cast("long").alias("length"))
     postings = (
         tokenised.select("id", "field", F.explode("tokens").alias("term"))
         .groupBy("term", "field", "id")
         .agg(F.count("*").alias("tf"))
     )
+    postings, lengths = cut(postings), cut(lengths)
     stats = lengths.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_length"))
     return TextIndex(postings, lengths, stats, postings.select("term").distinct())
 

@@ -29,7 +29,7 @@ table = K.table
         FROM documents""",
 )
 def safe_names(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", T.safe_name(F.col("text")).alias("name"))
+    return K.documents(spark, sf).select("doc_id", T.safe_name(F.col("text")).alias("name"))
 
 
 @query(
@@ -104,7 +104,7 @@ def typed_articles(spark: SparkSession, sf: str) -> DataFrame:
 )
 def contains_ai(spark: SparkSession, sf: str) -> DataFrame:
     words = F.array(*[F.lit(w) for w in ("été", "École", "über", "réponse", "nación", "TION")])
-    docs = table(spark, sf, "documents").select("doc_id", T.fold(F.col("text")).alias("t"))
+    docs = K.documents(spark, sf).select("doc_id", T.fold(F.col("text")).alias("t"))
     rows = docs.select("doc_id", "t", F.explode(F.transform(words, T.fold)).alias("word"))
     return rows.filter(F.contains("t", F.col("word"))).select("doc_id", "word")
 
@@ -131,7 +131,7 @@ def extract_dates(spark: SparkSession, sf: str) -> DataFrame:
         GROUP BY doc_id""",
 )
 def sentences(spark: SparkSession, sf: str) -> DataFrame:
-    rows = X.sentences(table(spark, sf, "documents"))
+    rows = X.sentences(K.documents(spark, sf))
     return rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("sentence")).alias("total"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.functions.scale import once
+from corpusgraph.functions.scale import once, spread
 from corpusgraph.functions.text import safe_name
 
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents"))
+
+
 def shipments(spark: SparkSession, sf: str) -> DataFrame:
     """One row per order line: doc_id, the line's keys and its shipping day."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -171,7 +175,7 @@ def vault(spark: SparkSession, sf: str) -> DataFrame:
 def document_notes(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as notes; an event with the document's number gives the time."""
     events = table(spark, sf, "events").select("event_id", "ts")
-    d = table(spark, sf, "documents").join(events, F.col("doc_id") == F.col("event_id"), "left")
+    d = documents(spark, sf).join(events, F.col("doc_id") == F.col("event_id"), "left")
     key = F.col("doc_id").cast("string")
     body = F.concat(_front("tags: [", F.col("lang"), ", ", F.col("source"), "]"), "text")
     path = F.concat("source", F.lit("/doc "), key, F.lit(".md"))

@@ -31,7 +31,7 @@ _DAYS = ", ".join(f"'{w}'" for w in defaults.WEEKDAYS)
           AND NOT (list_has_any(w, [{_DAYS}]) AND len(w) <= 2)""",
 )
 def phrase_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return X.phrase_candidates(table(spark, sf, "documents"), defaults.word_rules(spark))
+    return X.phrase_candidates(K.documents(spark, sf), defaults.word_rules(spark))
 
 
 def _gazetteer(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,7 +50,7 @@ def _gazetteer(spark: SparkSession, sf: str) -> DataFrame:
           CASE WHEN exact THEN '' ELSE '(?i)' END || '\b' || regexp_replace(name, '([.*+?^${}()|\[\]\\])', '\\\1', 'g') || '\b')""",
 )
 def gazetteer_mentions(spark: SparkSession, sf: str) -> DataFrame:
-    return X.gazetteer_mentions(table(spark, sf, "documents"), _gazetteer(spark, sf))
+    return X.gazetteer_mentions(K.documents(spark, sf), _gazetteer(spark, sf))
 
 
 @query(

@@ -242,7 +242,7 @@ def _rich(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(',{"type":"paragraph","children":[{"type":"text","text":"see "},{"type":"link","fields":{"url":"https://news.example/doc-'), key,
         F.lit('"},"children":[{"type":"text","text":"'), "source", F.lit('"}]}]}]}}'),
     )
-    return table(spark, sf, "documents").select("doc_id", content.alias("content"))
+    return K.documents(spark, sf).select("doc_id", content.alias("content"))
 
 
 @query(

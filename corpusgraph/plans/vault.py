@@ -174,7 +174,7 @@ def siblings(spark: SparkSession, sf: str) -> DataFrame:
           row_number() OVER (PARTITION BY a.id ORDER BY d.degree DESC, a.neighbour) AS k FROM d_adj a JOIN d_degree d ON d.id = a.neighbour) WHERE k = 1""",
 )
 def best_neighbour(spark: SparkSession, sf: str) -> DataFrame:
-    links = K.links(spark, sf)
+    links = cut(K.links(spark, sf))
     return G.best_neighbour(links, G.degree(K.nodes(spark, sf), links))
 
 
@@ -201,7 +201,7 @@ def orphans_by_folder(spark: SparkSession, sf: str) -> DataFrame:
         FROM d_degree d LEFT JOIN s ON s.id = d.id LEFT JOIN n ON n.id = d.id""",
 )
 def tiers(spark: SparkSession, sf: str) -> DataFrame:
-    links = K.links(spark, sf)
+    links = cut(K.links(spark, sf))
     return G.tiers(cut(G.degree(K.nodes(spark, sf), links)), links)
 
 
