@@ -56,14 +56,16 @@ def best_neighbour(links: DataFrame, degrees: DataFrame) -> DataFrame:
     return rows.groupBy("id").agg(best.alias("b")).select("id", "b.neighbour", "b.degree")
 
 
-def orphans(nodes: DataFrame, degrees: DataFrame) -> DataFrame:
-    """id, folder of nodes without links."""
-    lonely = degrees.filter("degree = 0").select("id")
-    return nodes.select("id", "folder").join(lonely, "id", "left_semi")
+def orphans(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """id, folder of nodes without links: nodes and link ends meet in one aggregation."""
+    ends = links.select(F.explode(F.array("source", "target")).alias("id"), F.lit(None).cast("string").alias("folder"), F.lit(1).alias("one"))
+    rows = nodes.select("id", "folder", F.lit(0).alias("one")).unionByName(ends)
+    counted = rows.groupBy("id").agg(F.max("folder").alias("folder"), F.sum("one").alias("degree"))
+    return counted.filter("degree = 0").select("id", "folder")
 
 
-def orphans_by_folder(nodes: DataFrame, degrees: DataFrame) -> DataFrame:
-    return orphans(nodes, degrees).groupBy("folder").agg(F.count("*").alias("n"))
+def orphans_by_folder(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    return orphans(nodes, links).groupBy("folder").agg(F.count("*").alias("n"))
 
 
 def tiers(degrees: DataFrame, links: DataFrame, q: float = 0.85, ratio: float = 0.5) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusgraph.functions.scale import top_k
+from corpusgraph.functions.scale import cut, top_k
 from corpusgraph.functions.text import WS
 
 _FENCED = r"^---\n[\s\S]*?\n---\n?"
@@ -234,8 +234,11 @@ def build_links(nodes: DataFrame) -> DataFrame:
 
 
 def build_graph(notes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """nodes and links of a note collection; of two paths with one id the smaller stays."""
-    nodes = top_k(parse_notes(notes), ["id"], [F.col("path")], 1, "_rn").drop("_rn")
+    """nodes and links of a note collection; of two paths with one id the smaller stays.
+
+    The nodes are written once: links, ids and base names all come from them.
+    """
+    nodes = cut(top_k(parse_notes(notes), ["id"], [F.col("path")], 1, "_rn").drop("_rn"))
     return nodes, build_links(nodes)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgraph.functions import text as T
-from corpusgraph.functions.scale import checkpoint_root, cut, paged
+from corpusgraph.functions.scale import checkpoint_root, cut, spread
 from corpusgraph.operators import corpus as C
 from corpusgraph.operators import extract as X
 from corpusgraph.plans import corpora as K
@@ -147,7 +147,7 @@ class CaseTables:
     """The shared inputs of the case queries; what several steps read is written once."""
 
     def __init__(self, spark: SparkSession, sf: str) -> None:
-        self.articles = cut(K.articles(spark, sf))
+        self.articles = spread(cut(K.articles(spark, sf)))
         self.doc_entity = K.doc_entity(spark, sf)
         # Configuration is written first, so its true size decides how it is joined.
         self.rules = cut(K.case_rules(spark, sf))

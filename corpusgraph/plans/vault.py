@@ -115,7 +115,7 @@ def note_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("link_resolution", "SELECT source, target FROM d_links")
 def link_resolution(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = N.parse_notes(K.vault(spark, sf))
+    nodes = cut(N.parse_notes(K.vault(spark, sf)).select("id", "links"))
     return N.resolve_targets(N.raw_links(nodes), nodes).select("source", "target")
 
 
@@ -130,7 +130,7 @@ def build_links(spark: SparkSession, sf: str) -> DataFrame:
           SELECT target AS id, source FROM d_links UNION ALL SELECT id, id FROM d_nodes WHERE folder = 'Suppliers')) WHERE rank <= 20""",
 )
 def backlinks(spark: SparkSession, sf: str) -> DataFrame:
-    return N.backlinks(N.parse_notes(K.vault(spark, sf)).select("id", "links"))
+    return N.backlinks(cut(N.parse_notes(K.vault(spark, sf)).select("id", "links")))
 
 
 @query("degree", "SELECT id, degree FROM d_degree")
@@ -154,7 +154,7 @@ _CENTRES = """SELECT folder, id, degree FROM (SELECT folder, id, degree, row_num
 
 @query("folder_centre", _CENTRES)
 def folder_centre(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = K.nodes(spark, sf)
+    nodes = cut(K.nodes(spark, sf).select("id", "folder"))
     return G.folder_centre(nodes, G.degree(nodes, K.links(spark, sf)))
 
 
@@ -180,14 +180,12 @@ def best_neighbour(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("orphans", "SELECT id, folder FROM d_nodes JOIN d_degree USING (id) WHERE degree = 0")
 def orphans(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = K.nodes(spark, sf)
-    return G.orphans(nodes, G.degree(nodes, K.links(spark, sf)))
+    return G.orphans(K.nodes(spark, sf), K.links(spark, sf))
 
 
 @query("orphans_by_folder", "SELECT folder, count(*) AS n FROM d_nodes JOIN d_degree USING (id) WHERE degree = 0 GROUP BY 1")
 def orphans_by_folder(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = K.nodes(spark, sf)
-    return G.orphans_by_folder(nodes, G.degree(nodes, K.links(spark, sf)))
+    return G.orphans_by_folder(K.nodes(spark, sf), K.links(spark, sf))
 
 
 @query(
@@ -265,7 +263,7 @@ def focus(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("collapse", f"SELECT id FROM d_nodes WHERE folder NOT IN ('Orders', 'Customers', 'src3') UNION SELECT id FROM ({_CENTRES}) WHERE folder IN ('Orders', 'Customers', 'src3')")
 def collapse(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = K.nodes(spark, sf)
+    nodes = cut(K.nodes(spark, sf).select("id", "folder"))
     centres = G.folder_centre(nodes, G.degree(nodes, K.links(spark, sf)))
     shut = spark.createDataFrame([("Orders",), ("Customers",), ("src3",)], "folder string")
     return G.collapse(nodes, centres, shut)
@@ -275,7 +273,8 @@ _SEEN = "SELECT id FROM d_nodes WHERE created_at BETWEEN TIMESTAMP '1997-12-31'
 
 
 def _visible(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    nodes, links = K.nodes(spark, sf), K.links(spark, sf)
+    # A filter over the union of note kinds would be worked out once per kind.
+    nodes, links = cut(K.nodes(spark, sf).select("id", "created_at")), K.links(spark, sf)
     recent = TF.time_filter(nodes, "created_at", "1Y", "1998-12-31")
     return G.visible_subgraph(nodes, links, recent)
 
@@ -304,7 +303,7 @@ def tagged_nodes(spark: SparkSession, sf: str) -> DataFrame:
 def favourites(spark: SparkSession, sf: str) -> DataFrame:
     good = table(spark, sf, "labels").filter("quality = 1").join(table(spark, sf, "documents"), "doc_id")
     ids = good.select(F.concat("source", F.lit("/doc-"), F.col("doc_id").cast("string")).alias("id"))
-    return G.favourites(K.nodes(spark, sf), ids).select("id", "label")
+    return G.favourites(cut(K.nodes(spark, sf).select("id", "label")), ids).select("id", "label")
 
 
 # ── tags ─────────────────────────────────────────────────────────────────────
@@ -322,7 +321,7 @@ def top_tags(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("tag_pairs", "SELECT tag_a, tag_b, shared FROM d_shared")
 def tag_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return A.tag_pairs(K.nodes(spark, sf))
+    return A.tag_pairs(cut(K.nodes(spark, sf).select("id", "tags")))
 
 
 @query("tag_isolation", "SELECT DISTINCT x.id FROM d_tags x JOIN d_tags y ON x.id = y.id WHERE contains(lower(x.tag), 'ord') AND contains(lower(y.tag), 'high')")

@@ -135,7 +135,7 @@ def test_degree_tiers_navigation(spark, rows):
     tiers = {r.id: r.tier for r in G.tiers(degrees, links).collect()}
     # Twenty nodes: rank 17 holds degree 2, so only the three hubs qualify.
     assert {k: v for k, v in tiers.items() if v != "regular"} == {"h1": "supernode", "h2": "supernode", "h3": "ultranode"}
-    assert rows(G.orphans_by_folder(nodes, degrees)) == [("o", 5)]
+    assert rows(G.orphans_by_folder(nodes, links)) == [("o", 5)]
     assert rows(G.folder_centre(nodes, degrees), "folder", "id") == [("h", "h1"), ("l", "l00"), ("o", "o0")]
     assert {r.id: r.neighbour for r in G.best_neighbour(links, degrees).collect()}["h3"] == "h1"
     assert rows(G.focus(links, "h3")) == [("h1",), ("h2",), ("h3",)]
