@@ -80,10 +80,7 @@ def test_events(spark):
     for r in X.extract_events(docs).orderBy("doc_id", "iso", "ev_pos").collect():
         got.setdefault(r.doc_id, []).append((r.iso, r.display, r.precision, r.description))
     assert got[0] == [
-        ("2001-03-03", "March 3, 2001", "day", "It began on March 3, 2001."),
         ("2001-01-01", "January 1, 2001", "day", "Short 1/1/2001."),
-        ("2002-04-05", "April 5, 2002", "day", "Then on 4/5/2002 it moved in June 2002."),
-    ][1:2] + [
         ("2001-03-03", "March 3, 2001", "day", "It began on March 3, 2001."),
         ("2002-04-05", "April 5, 2002", "day", "Then on 4/5/2002 it moved in June 2002."),
     ]

@@ -33,12 +33,12 @@ def test_parse(notes):
     assert (first.label, first.type, first.folder) == ("Real *Title*", "drop", "drops")
     assert first.tags == ["alpha", "be ta", "H", "hash/tag", "frag"]
     assert first.links == ["second", "folder/third"]
-    assert first.excerpt.startswith("intro  See Second and Folder/Third|third one [[A#H]]"[:20])
+    assert first.excerpt == "intro See Second and Folder/Third|third one A#H #hash/tag http://e.x/#frag"
     third = got["folder/third"]
     assert (third.label, third.tags) == ("Third", ["one", "two words"])
     assert (got["memory/second"].type, got["c"].folder) == ("memory", "")
     bodies = {r.id: r.body for r in N.bodies(notes).collect()}
-    assert bodies["drops/first-note"].startswith("intro  Real Title See Second and Folder/Third [[AH]]")
+    assert bodies["drops/first-note"].startswith("intro  Real Title See Second and Folder/Third AH hash/tag")
 
 
 def test_front_matter_headings_callouts(notes, rows):
@@ -60,8 +60,8 @@ def test_links(notes, rows):
     # A bare name goes to the smallest id with that base name; mutual links count once.
     assert rows(links, "source", "target") == [
         ("drops/first-note", "folder/third"), ("drops/first-note", "memory/second"), ("folder/third", "memory/second"),
-        ("memory/second", "folder/third"), ("other/third", "folder/third"),
-    ][:3] + [("other/third", "folder/third")]
+        ("other/third", "folder/third"),
+    ]
     back = rows(N.backlinks(nodes), "id", "source")
     assert ("drops/first-note", "folder/third") in back and ("other/third", "memory/second") in back
     assert [r.id for r in G.resolve_node(nodes, "Third").collect()] == ["folder/third"]
