@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.llm import byte_bpe, decontaminate, pii
+from corpusgraph.llm import byte_bpe, decontaminate, pii, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,3 +86,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "tokens.n_tokens", F.sha2("tokens.ids", 256).alias("ids_sha256"), F.sha2("tokens.decoded", 256).alias("decoded_sha256")
     )
+
+
+@query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return out.select("doc_id", *[f"stats.{c}" for c in counts], "base_failed", "kept")
