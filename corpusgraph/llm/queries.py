@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.llm import byte_bpe, decontaminate, pii, quality_rules
+from corpusgraph.functions.scale import cut
+from corpusgraph.llm import byte_bpe, chat_format, decontaminate, language_id, pii, quality_classifier, quality_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,3 +94,90 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return out.select("doc_id", *[f"stats.{c}" for c in counts], "base_failed", "kept")
+
+
+_SAMPLE = "</s>[INST] ok [/INST]"
+
+OP7 = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{_SAMPLE}' UNION ALL SELECT -1, 1, 'assistant', '{_SAMPLE}'),
+e AS (
+  SELECT *, length(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'), '|', '&vert;')) AS n_text,
+         length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'), '|', '&vert;')) AS n_role
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n_text + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 16 WHEN 'assistant' THEN 8 ELSE n_role + 13 END) AS BIGINT)
+         AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op7_chat_format", OP7)
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    sample = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_SAMPLE).alias("text"),
+    )
+    made = chat_format.format_conversations(rows.unionByName(sample))
+    back = made.select("conv", "formatted", chat_format.read_back(F.col("formatted")).alias("turns"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: t["text"]), "")
+    return back.select(
+        F.col("conv").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND (page_id IS NULL OR page_id > first) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND (page_id IS NULL OR page_id > first) THEN first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query("op9_warc", OP9)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"))
+    read = warc.read_records(index)
+    rows = cut(read.select(
+        "page_id", "record_type", "refers_to", "digest",
+        F.octet_length("payload").cast("long").alias("n_bytes"), F.sha2("payload", 256).alias("own_digest"),
+    ))
+    # A revisit has no payload of its own: its size comes from the response with the same digest.
+    stored = rows.filter("record_type = 'response'").select(F.col("own_digest").alias("digest"), "n_bytes")
+    sizes = stored.groupBy("digest").agg(F.max("n_bytes").alias("payload_bytes"))
+    responses = rows.filter("record_type = 'response'").select(
+        "page_id", F.col("n_bytes").alias("payload_bytes"), F.col("own_digest").alias("payload_digest"), "record_type", "refers_to"
+    )
+    revisits = rows.filter("record_type = 'revisit'").join(sizes, "digest").select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to"
+    )
+    return responses.unionByName(revisits)
+
+
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.learn(docs, labels)
+    scored = quality_classifier.score(docs, model, into="score", keep=["doc_id"])
+    held_out = quality_classifier.held_out(F.col("doc_id"))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0
+    net = language_id.learn(docs.filter(learned))
+    found = language_id.identify(docs, net, into="found", keep=["doc_id"])
+    return found.select("doc_id", F.coalesce(~learned, F.lit(False)).alias("held_out"), "found.lang_pred", "found.score")
