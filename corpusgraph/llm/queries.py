@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.scale import cut
-from corpusgraph.llm import byte_bpe, chat_format, decontaminate, language_id, pii, quality_classifier, quality_rules, warc
+from corpusgraph.llm import byte_bpe, chat_format, decontaminate, language_id, ngram_join, pii, quality_classifier, quality_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,3 +181,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = language_id.learn(docs.filter(learned))
     found = language_id.identify(docs, net, into="found", keep=["doc_id"])
     return found.select("doc_id", F.coalesce(~learned, F.lit(False)).alias("held_out"), "found.lang_pred", "found.score")
+
+
+@query("op3_ngram_join")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
