@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.scale import cut
-from corpusgraph.llm import byte_bpe, chat_format, decontaminate, language_id, ngram_join, pii, quality_classifier, quality_rules, warc
+from corpusgraph.llm import byte_bpe, chat_format, decontaminate, language_id, ngram_join, pii, quality_classifier, quality_rules, suffix_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,3 +186,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_ngram_join")
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
