@@ -9,9 +9,10 @@ order of n-grams, rare ones first, and skips in two ways:
   it is read in blocks, each begun by a leader, whose members are all large
   enough to match the leader. Other blocks are skipped by size and position.
 - Answer skipping. First every member is compared with its leader only. Where
-  both turn out linked to one component nothing more is asked. Else the
-  leader's computed distances bound a pair's distance (Jaccard distance is a
-  metric), and only pairs that the bound leaves open are compared.
+  both turn out linked to one component nothing more is asked. Those apart try
+  a few more leaders. For who is left, the leader's computed distances bound a
+  pair's distance (Jaccard distance is a metric), and only pairs that the bound
+  leaves open are compared.
 
 So a group of near copies costs about one comparison per copy, and still every
 link between components is found. The order comes from a sketch of fixed size,
@@ -262,7 +263,52 @@ def _compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> D
     return cut(both.mapInArrow(run, _CHECKED))
 
 
-def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+def _parts(held: DataFrame, links: DataFrame) -> DataFrame:
+    """List entries with their component, in lists where not all are in one; `top` is the component of most."""
+    labels = cut(component_labels(links.select(F.col("a").alias("source"), F.col("b").alias("target"))))
+    rows = held.join(labels.withColumnRenamed("id", "key"), "key", "left")
+    rows = cut(rows.select(*held.columns, F.coalesce("component", "key").alias("part")))
+    sizes = rows.groupBy("gram", "part").agg(F.count("*").alias("n"))
+    tops = sizes.groupBy("gram").agg(F.max_by("part", F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
+    return cut(rows.join(tops.filter("parts > 1").drop("parts"), "gram"))
+
+
+def _tries(parts: DataFrame, turn: int) -> DataFrame:
+    """Pairs of members apart with a member drawn from most of the list, and with one drawn from those apart.
+
+    The draw is by a hash of the class, so lists that share members agree on it.
+    """
+    draw = F.xxhash64("key", F.lit(turn))
+    apart = F.col("part") != F.col("top")
+    drawn = parts.groupBy("gram").agg(
+        F.min_by("key", F.when(~apart, draw)).alias("most"), F.min_by("key", F.when(apart, draw)).alias("other")
+    )
+    rows = parts.filter(apart).select("gram", F.col("key").alias("b")).join(drawn, "gram")
+    pairs = rows.select(F.explode(F.array("most", "other")).alias("a"), "b")
+    return pairs.filter("a <> b").distinct()
+
+
+def _open_pairs(parts: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of different components that sizes, places and the leader's distances leave open."""
+    far = known.select(F.col("a").alias("leader"), F.col("b").alias("key"), (1 - F.col("common") / F.col("total")).alias("away"))
+    rows = parts.join(far.groupBy("leader", "key").agg(F.min("away").alias("away")), ["leader", "key"], "left")
+    rows = rows.withColumn("away", F.when(F.col("leader") == F.col("key"), 0.0).otherwise(F.col("away")))
+    other = rows.select("gram", *[F.col(c).alias(f"o_{c}") for c in ("leader", "key", "size", "place", "part", "away")])
+    small, large = F.least("size", "o_size"), F.greatest("size", "o_size")
+    need = F.ceil((F.col("size") + F.col("o_size")) * percent / (100 + percent))
+    # Common n-grams before this one are at most the smaller place, those from here on at most the shorter rest.
+    reach = F.least("place", "o_place") + F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place"))
+    apart_by_leader = (F.col("leader") == F.col("o_leader")) & (F.abs(F.col("away") - F.col("o_away")) > (100 - percent) / 100 + 1e-9)
+    pairs = rows.filter("part <> top").join(other, "gram").filter(
+        (F.col("part") != F.col("o_part")) & (small * 100 >= large * percent) & (reach >= need) & ~F.coalesce(apart_by_leader, F.lit(False))
+    )
+    asked = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct().join(asked, ["a", "b"], "left_anti")
+
+
+def jaccard_components(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, rounds: int = 2
+) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links), one row per document.
 
     Two documents link when 100 * common n-grams >= percent * n-grams of either.
@@ -282,29 +328,18 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     linked = F.col("common") * 100 >= F.col("total") * percent
     links = known.filter(linked)
 
-    # What is left: members not connected with the leader of the list they stand in.
-    labels = cut(component_labels(links.select(F.col("a").alias("source"), F.col("b").alias("target"))))
-    held = lists.filter("members > 2").join(labels.withColumnRenamed("id", "key"), "key", "left")
-    held = cut(held.select("gram", "leader", "key", "size", "place", F.coalesce("component", "key").alias("part")))
-    top = held.filter("leader = key").groupBy("gram").agg(F.min_by("part", F.struct("size", "key")).alias("top"))
-    mixed = held.join(top, "gram")
-    far = known.select(F.col("a").alias("leader"), F.col("b").alias("key"), (1 - F.col("common") / F.col("total")).alias("away"))
-    apart = mixed.filter("part <> top").join(far, ["leader", "key"], "left")
-    apart = apart.withColumn("away", F.when(F.col("leader") == F.col("key"), 0.0).otherwise(F.col("away")))
-    other = mixed.join(mixed.filter("part <> top").select("gram").distinct(), "gram", "left_semi").join(far, ["leader", "key"], "left")
-    other = other.withColumn("away", F.when(F.col("leader") == F.col("key"), 0.0).otherwise(F.col("away")))
-    renamed = other.select("gram", *[F.col(c).alias(f"o_{c}") for c in ("leader", "key", "size", "place", "part", "away")])
-    small, large = F.least("size", "o_size"), F.greatest("size", "o_size")
-    need = F.ceil((F.col("size") + F.col("o_size")) * percent / (100 + percent))
-    # Common n-grams before this one are at most the smaller place, those after at most the shorter rest.
-    reach = F.least("place", "o_place") + 1 + F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place")) - 1
-    apart_by_leader = (F.col("leader") == F.col("o_leader")) & (F.abs(F.col("away") - F.col("o_away")) > (100 - percent) / 100 + 1e-9)
-    open_pairs = apart.join(renamed, "gram").filter(
-        (F.col("part") != F.col("o_part")) & (small * 100 >= large * percent) & (reach >= need) & ~F.coalesce(apart_by_leader, F.lit(False))
-    )
-    asked = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = open_pairs.select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct().join(asked, ["a", "b"], "left_anti")
-    rest = cut(rest)
+    # Members not connected with most of their list try leaders drawn anew, so that groups of near copies
+    # whose distances straddle the threshold close up before any pair of members is formed.
+    held = cut(lists.filter("members > 2").drop("members"))
+    for turn in range(rounds):
+        parts = _parts(held, links)
+        asked = _tries(parts, turn).join(known.select("a", "b").union(known.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+        asked = cut(asked)
+        if not asked.head(1):
+            break
+        known = cut(known.unionByName(_compare(asked, classes, docs, n)))
+        links = known.filter(linked)
+    rest = cut(_open_pairs(_parts(held, links), known, percent))
     more = _compare(rest, classes, docs, n).filter(linked) if rest.head(1) else known.limit(0)
 
     edges = links.unionByName(more).select(F.col("a").alias("source"), F.col("b").alias("target"))
@@ -314,6 +349,6 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     by_class = named.join(smallest, "part").select("one", "two", "component_id")
     out = rows.join(by_class, ["one", "two"], "left")
     out = cut(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
-    for used in (scanned, classes, lists, known, labels, held, rest, final):
+    for used in (scanned, classes, lists, known, held, rest, final):
         discard(used)
     return out
