@@ -47,11 +47,11 @@ KGRAM = 32
 _PLACE = U64((1 << 28) - 1)
 #: Segments of one bucket, bytes of one shard, and segments of one anchor beyond which windows are dealt out singly.
 BUCKET_ENTRIES = 400_000
-SHARD_BYTES = 4 << 20
-HOT = 20_000
+SHARD_BYTES = 1 << 20
+HOT = 4_000
 #: Bytes of text whose segments are packed together, and bytes of one text worked on at once.
-PACK_BYTES = 32 << 20
-BLOCK_BYTES = 4 << 20
+PACK_BYTES = 24 << 20
+BLOCK_BYTES = 1 << 20
 
 _ODD = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407, 0x9FB21C651E98DF25)]
 
@@ -73,7 +73,8 @@ def segments(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
     for odd in _ODD:
         value = value[:-span] * odd + value[span:]
         span *= 2
-        levels[span] = value
+        if span >= KGRAM:
+            levels[span] = value
     gram, wide = mix(levels[KGRAM]), levels[64]
     low = (gram & ~_PLACE) | np.arange(len(gram), dtype=U64)
     reach, width = low, 1
@@ -169,7 +170,7 @@ def _anchored(docs: DataFrame, length: int, n_buckets: int) -> DataFrame:
                     )
 
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, BLOCK_BYTES):
                 ids, ties = (part.column(i).to_numpy() for i in (0, 1))
                 for data, at, text, base in _blocks(*buffers(part.column(2)), length):
                     anchor, segment, own, lo, hi = segments(data, at, length)
@@ -377,7 +378,7 @@ def _fetch(asked: DataFrame, docs: DataFrame, length: int, n_buckets: int) -> Da
             if losers:
                 out += [(-1, *place, b"") for place in losers]
                 losers = []
-            if len(single) > 200_000:
+            if len(single) > 50_000:
                 out += _singles(single, n_buckets)
                 single = {}
             yield _rows(out)
