@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusgraph.functions.scale import cut, discard
 from corpusgraph.llm.common import BINARY, LONG, LOWER, NOT_BLANK, U64, Words, bounded_batches, buffers, grams, mix, record, sequence_hash, slices, words
@@ -78,7 +79,21 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-(percent * size) // 100) + 1
 
 
-_SCAN = record(doc_id=LONG, n=LONG, one=LONG, two=LONG, chunk=LONG, counts=BINARY)
+#: Longs of the parity bitmap of a set.
+BITMAP = 16
+
+
+def parities(own: np.ndarray) -> list[int]:
+    """For each of 64 * BITMAP cells, whether an odd number of n-grams falls into it.
+
+    Two bitmaps differ in at most as many cells as the sets in n-grams, so they bound a similarity from above.
+    """
+    cells = np.bincount((own % U64(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64).tolist()
+
+
+_SCAN = record(doc_id=LONG, n=LONG, one=LONG, two=LONG, bits=T.ArrayType(LONG), chunk=LONG, counts=BINARY)
+_LONGS = pa.list_(pa.int64())
 
 
 def _scan(docs: DataFrame, n: int) -> DataFrame:
@@ -89,26 +104,27 @@ def _scan(docs: DataFrame, n: int) -> DataFrame:
         met: set[int] = set()
         for batch in batches:
             for part in slices(batch, 1):
-                rows = [(i, 0, None, None) for i in part.column(0).to_pylist()]
+                rows = [(i, 0, None, None, None) for i in part.column(0).to_pylist()]
                 held = []
                 for i, own in sets(*buffers(part.column(1)), n):
                     one, two = digest(own)
-                    rows[i] = (rows[i][0], len(own), one, two)
+                    rows[i] = (rows[i][0], len(own), one, two, parities(own))
                     if one not in met:
                         met.add(one)
                         held.append(own)
                 if held:
                     counters += np.bincount((np.concatenate(held) >> U64(42)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
-                ids, sizes, ones, twos = zip(*rows, strict=True)
+                ids, sizes, ones, twos, bits = zip(*rows, strict=True)
                 none = pa.nulls(len(rows), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in (ids, sizes, ones, twos)] + [none, pa.nulls(len(rows), pa.binary())], names=_SCAN.names
+                    [*[pa.array(c, pa.int64()) for c in (ids, sizes, ones, twos)], pa.array(bits, _LONGS), none, pa.nulls(len(rows), pa.binary())],
+                    names=_SCAN.names,
                 )
         if met:
             for k in range(SKETCH // _CHUNK):
                 own = np.minimum(counters[k * _CHUNK : (k + 1) * _CHUNK], 65535).astype(np.uint16)
                 if own.any():
-                    columns = [pa.nulls(1, pa.int64())] * 4 + [pa.array([k], pa.int64()), pa.array([own.tobytes()], pa.binary())]
+                    columns = [pa.nulls(1, pa.int64())] * 4 + [pa.nulls(1, _LONGS), pa.array([k], pa.int64()), pa.array([own.tobytes()], pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, names=_SCAN.names)
 
     return docs.mapInArrow(run, _SCAN)
@@ -288,19 +304,27 @@ def _tries(parts: DataFrame, turn: int) -> DataFrame:
     return pairs.filter("a <> b").distinct()
 
 
-def _open_pairs(parts: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of different components that sizes, places and the leader's distances leave open."""
+def _open_pairs(parts: DataFrame, known: DataFrame, scanned: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of different components that sizes, places, bitmaps and the leader's distances leave open."""
     far = known.select(F.col("a").alias("leader"), F.col("b").alias("key"), (1 - F.col("common") / F.col("total")).alias("away"))
     rows = parts.join(far.groupBy("leader", "key").agg(F.min("away").alias("away")), ["leader", "key"], "left")
     rows = rows.withColumn("away", F.when(F.col("leader") == F.col("key"), 0.0).otherwise(F.col("away")))
-    other = rows.select("gram", *[F.col(c).alias(f"o_{c}") for c in ("leader", "key", "size", "place", "part", "away")])
+    cells = scanned.filter("n > 0").select(F.col("one").alias("key"), "bits")
+    cells = cells.join(parts.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    rows = cut(rows.join(cells, "key").select(*rows.columns, *[F.col("bits")[i].alias(f"bits{i}") for i in range(BITMAP)]))
+    other = rows.select("gram", *[F.col(c).alias(f"o_{c}") for c in rows.columns if c not in ("gram", "top")])
+    differ = sum((F.bit_count(F.col(f"bits{i}").bitwiseXOR(F.col(f"o_bits{i}"))) for i in range(1, BITMAP)), F.bit_count(F.col("bits0").bitwiseXOR(F.col("o_bits0"))))
     small, large = F.least("size", "o_size"), F.greatest("size", "o_size")
     need = F.ceil((F.col("size") + F.col("o_size")) * percent / (100 + percent))
     # Common n-grams before this one are at most the smaller place, those from here on at most the shorter rest.
     reach = F.least("place", "o_place") + F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place"))
     apart_by_leader = (F.col("leader") == F.col("o_leader")) & (F.abs(F.col("away") - F.col("o_away")) > (100 - percent) / 100 + 1e-9)
     pairs = rows.filter("part <> top").join(other, "gram").filter(
-        (F.col("part") != F.col("o_part")) & (small * 100 >= large * percent) & (reach >= need) & ~F.coalesce(apart_by_leader, F.lit(False))
+        (F.col("part") != F.col("o_part"))
+        & (small * 100 >= large * percent)
+        & (reach >= need)
+        & (differ <= F.col("size") + F.col("o_size") - 2 * need)
+        & ~F.coalesce(apart_by_leader, F.lit(False))
     )
     asked = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct().join(asked, ["a", "b"], "left_anti")
@@ -339,7 +363,7 @@ def jaccard_components(
             break
         known = cut(known.unionByName(_compare(asked, classes, docs, n)))
         links = known.filter(linked)
-    rest = cut(_open_pairs(_parts(held, links), known, percent))
+    rest = cut(_open_pairs(_parts(held, links), known, scanned, percent))
     more = _compare(rest, classes, docs, n).filter(linked) if rest.head(1) else known.limit(0)
 
     edges = links.unionByName(more).select(F.col("a").alias("source"), F.col("b").alias("target"))
