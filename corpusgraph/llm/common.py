@@ -77,9 +77,12 @@ def annotate(
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c != into]
     bounded_batches(docs.sparkSession)
-    source = docs.select(*quoted(keep), F.col(f"`{text}`").cast("string").alias("_text_"))
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField(into, kind)])
+    # Plain inner names cannot clash with the columns of any table.
+    carried = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(keep)]
+    source = docs.select(*carried, F.col(f"`{text}`").cast("string").alias("text"))
+    kinds = [docs.schema[name].dataType for name in keep]
     names = [*keep, into]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, [*kinds, kind], strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusgraph.llm.common import DOUBLE, STRING, annotate, buffers, record
+from corpusgraph.llm.common import DOUBLE, STRING, annotate, buffers, quoted, record
 
 HIDDEN = 6
 WINDOW = 64
@@ -264,5 +264,8 @@ def identify(
     keep = [c for c in (docs.columns if keep is None else keep) if c != into]
     shared = docs.sparkSession.sparkContext.broadcast(net)
     # Texts without a letter are not sent to the network at all.
-    read = docs.select(*[F.col(f"`{c}`") for c in keep], F.when(F.col(f"`{text}`").cast("string").rlike(r"\p{L}"), F.col(f"`{text}`")).alias("_read_"))
-    return annotate(read, "_read_", lambda: _worker(shared.value), RESULT, into, keep)
+    read = "_read"
+    while read in keep:
+        read += "_"
+    letters = F.when(F.col(f"`{text}`").cast("string").rlike(r"\p{L}"), F.col(f"`{text}`"))
+    return annotate(docs.select(*quoted(keep), letters.alias(read)), read, lambda: _worker(shared.value), RESULT, into, keep)
