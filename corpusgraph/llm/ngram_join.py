@@ -331,7 +331,7 @@ def _open_pairs(parts: DataFrame, known: DataFrame, scanned: DataFrame, percent:
 
 
 def jaccard_components(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, rounds: int = 2
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, rounds: int = 1
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links), one row per document.
 
