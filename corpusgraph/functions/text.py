@@ -27,6 +27,11 @@ _FROM = "".join(a for a, _ in _FOLDED)
 _TO = "".join(b for _, b in _FOLDED)
 
 
+def trim_blanks(col: Column) -> Column:
+    """Without blanks of any kind at either end; line ends and no-break spaces count."""
+    return F.regexp_replace(col, rf"^{WS}+|{WS}+\z", "")
+
+
 def squeeze(col: Column) -> Column:
     """Runs of blanks become one space, ends trimmed."""
     return F.trim(F.regexp_replace(col, f"{WS}+", " "))

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.scale import contains_join, once, paged, ranked, top_k
-from corpusgraph.functions.text import WS, date_only, fold, last_word, safe_name, span
+from corpusgraph.functions.text import BLANKS, WS, date_only, fold, last_word, safe_name, span
 
 
 # ── names and labels ─────────────────────────────────────────────────────────
@@ -90,7 +90,7 @@ def case_keywords(rules: DataFrame) -> DataFrame:
     """case, keyword: phrases that show a sentence is about the case (folded)."""
     named = rules.select("case", "rule")
     surnames = rules.filter("kind = 'entity'").select("case", last_word(F.col("rule")).alias("rule"))
-    tokens = rules.select("case").distinct().select("case", F.explode(F.split("case", r"[\s/]+")).alias("rule"))
+    tokens = rules.select("case").distinct().select("case", F.explode(F.split("case", f"[{BLANKS}/]+")).alias("rule"))
     short = surnames.unionByName(tokens).filter(F.length("rule") >= 4)
     every = named.unionByName(short)
     return every.select("case", fold(F.col("rule")).alias("keyword")).filter("keyword <> ''").distinct()
@@ -341,7 +341,7 @@ def newest(posts: DataFrame, n: int) -> DataFrame:
     return posts.orderBy(F.desc("published_at"), F.asc("doc_id")).limit(n)
 
 
-PART = r"(?i)(?<!\w)part\s*#?\s*(\d+)(?!\w)"
+PART = rf"(?i)(?<!\w)part{WS}*#?{WS}*(\d+)(?!\w)"
 
 
 def series_stems(posts: DataFrame, min_stem: int = 8) -> DataFrame:

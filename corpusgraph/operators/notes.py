@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.scale import cut, top_k
-from corpusgraph.functions.text import WS
+from corpusgraph.functions.text import WS, trim_blanks
 
 _FENCED = r"^---\n[\s\S]*?\n---\n?"
 
@@ -42,7 +42,7 @@ def file_name(path: Column) -> Column:
 
 def note_title(body: Column, path: Column) -> Column:
     """First level-one heading, else the file name."""
-    heading = F.trim(F.regexp_extract(body, rf"(?m)^#{WS}+(.+)$", 1))
+    heading = trim_blanks(F.regexp_extract(body, rf"(?m)^#{WS}+(.+)$", 1))
     return F.coalesce(F.nullif(heading, F.lit("")), file_name(path))
 
 
@@ -51,10 +51,10 @@ def note_tags(body: Column) -> Column:
     front = F.regexp_extract(body, r"^---\n([\s\S]*?)\n---", 1)
     inline = F.regexp_extract(front, rf"tags:{WS}*\[([^\]]+)\]", 1)
     listed = F.when(
-        inline != "", F.transform(F.split(inline, ","), lambda t: F.regexp_replace(F.trim(t), "['\"]", ""))
+        inline != "", F.transform(F.split(inline, ","), lambda t: F.regexp_replace(trim_blanks(t), "['\"]", ""))
     ).otherwise(F.array().cast("array<string>"))
     bullets = F.regexp_extract(front, rf"tags:{WS}*\n((?:{WS}+-{WS}+.+\n?)+)", 1)
-    items = F.transform(F.regexp_extract_all(bullets, F.lit(rf"-{WS}+(.+)"), F.lit(1)), lambda t: F.trim(t))
+    items = F.transform(F.regexp_extract_all(bullets, F.lit(rf"-{WS}+(.+)"), F.lit(1)), lambda t: trim_blanks(t))
     tokens = F.regexp_extract_all(body, F.lit("#([a-zA-Z0-9_/-]+)"), F.lit(1))
     return F.array_distinct(F.concat(listed, items, tokens))
 
@@ -62,14 +62,14 @@ def note_tags(body: Column) -> Column:
 def wikilinks(body: Column) -> Column:
     """Targets of [[…]] links in order; links into a heading are not links to a note."""
     inner = F.regexp_extract_all(body, F.lit(r"\[\[([^\]|#]+?)(?:\|[^\]]+)?\]\]"), F.lit(1))
-    return F.transform(inner, lambda t: slugged(F.trim(t)))
+    return F.transform(inner, lambda t: slugged(trim_blanks(t)))
 
 
 def note_excerpt(body: Column, length: int = 120) -> Column:
     text = F.regexp_replace(body, _FENCED, "")
     text = F.regexp_replace(text, rf"(?m)^#+{WS}+.+$", "")
     text = F.regexp_replace(text, r"\[\[([^\]]+)\]\]", "$1")
-    text = F.trim(F.regexp_replace(F.regexp_replace(text, "[*_`]", ""), r"\n+", " "))
+    text = trim_blanks(F.regexp_replace(F.regexp_replace(text, "[*_`]", ""), r"\n+", " "))
     return F.substring(text, 1, length)
 
 
@@ -77,7 +77,7 @@ def note_text(body: Column) -> Column:
     """Searchable text: no front matter, no markup, links reduced to their targets."""
     text = F.regexp_replace(body, _FENCED, "")
     text = F.regexp_replace(text, r"\[\[([^\]|]+)(?:\|[^\]]+)?\]\]", "$1")
-    return F.trim(F.regexp_replace(F.regexp_replace(text, "[*_`#]", ""), r"\n+", " "))
+    return trim_blanks(F.regexp_replace(F.regexp_replace(text, "[*_`#]", ""), r"\n+", " "))
 
 
 def parse_notes(notes: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def front_matter_map(notes: DataFrame) -> DataFrame:
     """path, props (key → value), tags, aliases, created, modified."""
     body = F.col("body")
     end = F.locate("\n---", body, 4)
-    block = F.when(body.startswith("---") & (end > 0), F.trim(F.substring(body, F.lit(4), end - 4)))
+    block = F.when(body.startswith("---") & (end > 0), trim_blanks(F.substring(body, F.lit(4), end - 4)))
     block = F.regexp_replace(block, f"^{WS}+|{WS}+$", "")
     lines = notes.select("path", F.split(block, "\n").alias("lines")).filter("lines IS NOT NULL")
 
@@ -122,10 +122,10 @@ def front_matter_map(notes: DataFrame) -> DataFrame:
         return line.rlike(rf"^{WS}+-{WS}")
 
     def key(line: Column) -> Column:
-        return F.trim(F.substring_index(line, ":", 1))
+        return trim_blanks(F.substring_index(line, ":", 1))
 
     def value(line: Column) -> Column:
-        return F.trim(F.substring(line, F.locate(":", line) + 1, F.length(line)))
+        return trim_blanks(F.substring(line, F.locate(":", line) + 1, F.length(line)))
 
     pairs = F.transform(
         F.filter("lines", lambda s: ~is_item(s) & F.contains(s, F.lit(":"))),
@@ -142,11 +142,11 @@ def front_matter_map(notes: DataFrame) -> DataFrame:
         rest = F.slice("lines", F.array_position(marks, name).cast("int") + 1, F.size("lines"))
         stop = F.array_position(F.transform(rest, is_item), False).cast("int")
         items = F.when(stop > 0, F.slice(rest, F.lit(1), stop - 1)).otherwise(rest)
-        items = F.transform(items, lambda s: F.trim(F.regexp_replace(s, rf"^{WS}+-{WS}+", "")))
+        items = F.transform(items, lambda s: trim_blanks(F.regexp_replace(s, rf"^{WS}+-{WS}+", "")))
         inner = F.split(F.substring(flat, F.lit(2), F.length(flat) - 2), ",")
         return (
             F.when(flat.isNull(), F.array().cast("array<string>"))
-            .when(flat.startswith("["), F.filter(F.transform(inner, lambda t: F.trim(t)), lambda t: t != ""))
+            .when(flat.startswith("["), F.filter(F.transform(inner, lambda t: trim_blanks(t)), lambda t: t != ""))
             .when(flat == "", items)
             .otherwise(F.array(flat))
         )
@@ -169,7 +169,7 @@ def headings(notes: DataFrame) -> DataFrame:
     lines = notes.select("path", F.posexplode(F.split(_stripped(F.col("body")), "\n")).alias("pos", "line"))
     found = lines.filter(F.col("line").rlike(rf"^#{{1,3}}{WS}+."))
     marks = F.regexp_extract("line", rf"^(#{{1,3}}){WS}+(.+)", 1)
-    text = F.trim(F.regexp_replace(F.regexp_extract("line", rf"^(#{{1,3}}){WS}+(.+)", 2), r"[*_`\[\]]", ""))
+    text = trim_blanks(F.regexp_replace(F.regexp_extract("line", rf"^(#{{1,3}}){WS}+(.+)", 2), r"[*_`\[\]]", ""))
     anchor = F.regexp_replace(F.lower("text"), r"[^\w\s-]", "")
     anchor = F.regexp_replace(F.regexp_replace(anchor, f"{WS}+", "-"), "-+", "-")
     rows = found.select("path", F.col("pos").cast("long").alias("pos"), F.length(marks).cast("long").alias("level"), text.alias("text"))
@@ -199,7 +199,7 @@ def callouts(notes: DataFrame) -> DataFrame:
         header.alias("header"), F.array_sort(F.collect_list(text)).alias("body")
     )
     kind = F.regexp_extract("header", _CALLOUT, 1)
-    title = F.trim(F.regexp_extract("header", _CALLOUT, 2))
+    title = trim_blanks(F.regexp_extract("header", _CALLOUT, 2))
     return grouped.select(
         "path",
         "pos",

@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from corpusgraph.functions.defaults import TITLES, TYPE_MARKERS
 from corpusgraph.functions.scale import cut, once
-from corpusgraph.functions.text import BLANKS, EDGE, WS, last_word
+from corpusgraph.functions.text import BLANKS, EDGE, WS, last_word, trim_blanks
 
 
 def canonical_name(name: Column, titles: Sequence[str] = TITLES) -> Column:
     """Drop a possessive ending and one leading title."""
     bare = F.regexp_replace(F.regexp_replace(name, r"(?i)['’]s$", ""), r"['’]$", "")
-    bare = F.trim(bare)
-    untitled = F.trim(F.regexp_replace(bare, rf"(?i)^(?:{'|'.join(titles)})\.?{WS}+", ""))
+    bare = trim_blanks(bare)
+    untitled = trim_blanks(F.regexp_replace(bare, rf"(?i)^(?:{'|'.join(titles)})\.?{WS}+", ""))
     return F.when(F.length(untitled) >= 2, untitled).otherwise(bare)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusgraph.functions.text import WS
+
 POST = (
     "id long, slug string, title string, content variant, publishedAt string, excerpt string,"
     " categories variant, populatedAuthors variant, authors variant, tags variant, relatedPosts variant,"
@@ -65,7 +67,7 @@ def normalise_posts(posts: DataFrame) -> DataFrame:
         _labels("categories", "title").alias("categories"),
         F.filter(F.transform(F.try_variant_get("categories", "$", "array<variant>"), _category_id), F.isnotnull).alias("category_ids"),
         named.alias("authors"),
-        F.transform(_labels("tags", "title"), lambda t: F.regexp_replace(t, r"\s+", "-")).alias("tags"),
+        F.transform(_labels("tags", "title"), lambda t: F.regexp_replace(t, f"{WS}+", "-")).alias("tags"),
         F.coalesce(related, F.array().cast("array<struct<slug:string,title:string>>")).alias("related"),
         "site",
         F.col("wpId").alias("wp_id"),
