@@ -90,6 +90,15 @@ def tiers(degrees: DataFrame, links: DataFrame, q: float = 0.85, ratio: float =
     return out.select("id", "degree", tier.alias("tier"))
 
 
+def _tangled(edges: DataFrame) -> bool:
+    """Whether a node has two edges to smaller ones, or lies between a larger and a smaller one: not stars yet."""
+    down = F.struct(F.col("u").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    up = F.struct(F.col("v").alias("id"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    ends = edges.select(F.inline(F.array(down, up)))
+    nodes = ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return bool(nodes.agg(F.max((F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0)))).first()[0])
+
+
 def component_labels(links: DataFrame) -> DataFrame:
     """id, component: smallest id of the connected component, for linked nodes.
 
@@ -99,13 +108,7 @@ def component_labels(links: DataFrame) -> DataFrame:
     """
     edges = links.filter("source <> target")
     edges = cut(edges.select(F.greatest("source", "target").alias("u"), F.least("source", "target").alias("v")).distinct())
-
-    def mark(df: DataFrame) -> tuple:
-        row = df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return tuple(row)
-
-    state = mark(edges)
-    while state[0]:
+    while _tangled(edges):
         both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Larger neighbours of u move to u's minimum.
@@ -115,12 +118,8 @@ def component_labels(links: DataFrame) -> DataFrame:
         # Smaller neighbours of u, and u itself, move to u's minimum.
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        now = mark(after)
         discard(edges)
         edges = after
-        if now == state:
-            break
-        state = now
     centres = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(centres)
 
