@@ -279,9 +279,28 @@ def _compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> D
     return cut(both.mapInArrow(run, _CHECKED))
 
 
-def _parts(held: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """Labels (id, component) after more links; None or the same ones if these join nothing new.
+
+    Only links between two components known so far are followed, each component as one node.
+    """
+    ends = links.select(F.col("a").alias("source"), F.col("b").alias("target"))
+    if labels is None:
+        return cut(component_labels(ends))
+    for end in ("source", "target"):
+        own = labels.select(F.col("id").alias(end), F.col("component").alias("part"))
+        ends = ends.join(own, end, "left").withColumn(end, F.coalesce("part", end)).drop("part")
+    ends = cut(ends.filter("source <> target").distinct())
+    if not ends.head(1):
+        return labels
+    joined = cut(component_labels(ends))
+    final = joined.select(F.col("id").alias("component"), F.col("component").alias("final"))
+    moved = labels.join(final, "component", "left").select("id", F.coalesce("final", "component").alias("component"))
+    return cut(moved.unionByName(joined.join(labels, "id", "left_anti")))
+
+
+def _parts(held: DataFrame, labels: DataFrame) -> DataFrame:
     """List entries with their component, in lists where not all are in one; `top` is the component of most."""
-    labels = cut(component_labels(links.select(F.col("a").alias("source"), F.col("b").alias("target"))))
     rows = held.join(labels.withColumnRenamed("id", "key"), "key", "left")
     rows = cut(rows.select(*held.columns, F.coalesce("component", "key").alias("part")))
     sizes = rows.groupBy("gram", "part").agg(F.count("*").alias("n"))
@@ -355,24 +374,25 @@ def jaccard_components(
     # Members not connected with most of their list try leaders drawn anew, so that groups of near copies
     # whose distances straddle the threshold close up before any pair of members is formed.
     held = cut(lists.filter("members > 2").drop("members"))
+    labels = _merged(None, links)
+    parts = _parts(held, labels)
     for turn in range(rounds):
-        parts = _parts(held, links)
         asked = _tries(parts, turn).join(known.select("a", "b").union(known.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
         asked = cut(asked)
         if not asked.head(1):
             break
-        known = cut(known.unionByName(_compare(asked, classes, docs, n)))
-        links = known.filter(linked)
-    rest = cut(_open_pairs(_parts(held, links), known, scanned, percent))
-    more = _compare(rest, classes, docs, n).filter(linked) if rest.head(1) else known.limit(0)
-
-    edges = links.unionByName(more).select(F.col("a").alias("source"), F.col("b").alias("target"))
-    final = cut(component_labels(edges))
+        tried = _compare(asked, classes, docs, n)
+        known = cut(known.unionByName(tried))
+        before, labels = labels, _merged(labels, tried.filter(linked))
+        if labels is not before:
+            parts = _parts(held, labels)
+    rest = cut(_open_pairs(parts, known, scanned, percent))
+    final = _merged(labels, _compare(rest, classes, docs, n).filter(linked)) if rest.head(1) else labels
     named = classes.join(final.withColumnRenamed("id", "one"), "one", "left").withColumn("part", F.coalesce("component", "one"))
     smallest = named.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     by_class = named.join(smallest, "part").select("one", "two", "component_id")
     out = rows.join(by_class, ["one", "two"], "left")
     out = cut(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
-    for used in (scanned, classes, lists, known, held, rest, final):
+    for used in (scanned, classes, lists, known, held, parts, rest, final):
         discard(used)
     return out
