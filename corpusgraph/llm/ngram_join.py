@@ -340,6 +340,8 @@ def _open_pairs(parts: DataFrame, known: DataFrame, scanned: DataFrame, percent:
     apart_by_leader = (F.col("leader") == F.col("o_leader")) & (F.abs(F.col("away") - F.col("o_away")) > (100 - percent) / 100 + 1e-9)
     pairs = rows.filter("part <> top").join(other, "gram").filter(
         (F.col("part") != F.col("o_part"))
+        # Both orders meet only where neither is of the top component.
+        & ((F.col("o_part") == F.col("top")) | (F.col("key") < F.col("o_key")))
         & (small * 100 >= large * percent)
         & (reach >= need)
         & (differ <= F.col("size") + F.col("o_size") - 2 * need)
