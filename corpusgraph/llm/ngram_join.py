@@ -81,6 +81,8 @@ def prefix_length(size: int, percent: int) -> int:
 
 #: Longs of the parity bitmap of a set.
 BITMAP = 16
+#: Smallest lists of a class that go along with it, to tell in which list a pair was met before.
+FIRST_LISTS = 8
 
 
 def parities(own: np.ndarray) -> list[int]:
@@ -324,13 +326,19 @@ def _tries(parts: DataFrame, turn: int) -> DataFrame:
 
 
 def _open_pairs(parts: DataFrame, known: DataFrame, scanned: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of different components that sizes, places, bitmaps and the leader's distances leave open."""
+    """Pairs of members of different components that sizes, places, bitmaps and the leader's distances leave open.
+
+    A pair shares many lists, and every bound holds in each of them, so one list decides: the smallest that both
+    classes' few smallest lists have in common. Where those have none in common, the pair is formed in every list.
+    """
     far = known.select(F.col("a").alias("leader"), F.col("b").alias("key"), (1 - F.col("common") / F.col("total")).alias("away"))
     rows = parts.join(far.groupBy("leader", "key").agg(F.min("away").alias("away")), ["leader", "key"], "left")
     rows = rows.withColumn("away", F.when(F.col("leader") == F.col("key"), 0.0).otherwise(F.col("away")))
     cells = scanned.filter("n > 0").select(F.col("one").alias("key"), "bits")
     cells = cells.join(parts.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
-    rows = cut(rows.join(cells, "key").select(*rows.columns, *[F.col("bits")[i].alias(f"bits{i}") for i in range(BITMAP)]))
+    # A class has at most as many lists as its own prefix has n-grams.
+    own = parts.groupBy("key").agg(F.slice(F.array_sort(F.collect_set("gram")), 1, FIRST_LISTS).alias("lists"))
+    rows = cut(rows.join(cells.join(own, "key"), "key").select(*rows.columns, "lists", *[F.col("bits")[i].alias(f"bits{i}") for i in range(BITMAP)]))
     other = rows.select("gram", *[F.col(c).alias(f"o_{c}") for c in rows.columns if c not in ("gram", "top")])
     differ = sum((F.bit_count(F.col(f"bits{i}").bitwiseXOR(F.col(f"o_bits{i}"))) for i in range(1, BITMAP)), F.bit_count(F.col("bits0").bitwiseXOR(F.col("o_bits0"))))
     small, large = F.least("size", "o_size"), F.greatest("size", "o_size")
@@ -346,6 +354,7 @@ def _open_pairs(parts: DataFrame, known: DataFrame, scanned: DataFrame, percent:
         & (reach >= need)
         & (differ <= F.col("size") + F.col("o_size") - 2 * need)
         & ~F.coalesce(apart_by_leader, F.lit(False))
+        & (F.col("gram") <= F.coalesce(F.array_min(F.array_intersect("lists", "o_lists")), F.col("gram")))
     )
     asked = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.select(F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b")).distinct().join(asked, ["a", "b"], "left_anti")
