@@ -146,7 +146,13 @@ def paged(
 
 
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, name: str = "rank") -> DataFrame:
-    """First `k` rows per group; Spark drops surplus rows before the shuffle."""
+    """First `k` rows per group (`order` must be unique inside a group).
+
+    Spark drops surplus rows before the shuffle while `k` is within its own limit for that.
+    Beyond it the rows are ranked by `ranked`, so a hot group still never meets in one task.
+    """
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        return ranked(df, by, order, name).filter(F.col(name) <= k)
     numbered = df.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order)))
     return numbered.filter(F.col(name) <= k).withColumn(name, F.col(name).cast("long"))
 

@@ -118,17 +118,18 @@ def case_events(membership: DataFrame, events: DataFrame, articles: DataFrame, k
     return kept.select("case", "doc_id", "ev_pos", "iso", "display", "precision", "description", "note")
 
 
-def _event_key(head: int) -> Column:
-    return F.regexp_replace(F.lower(F.substring("description", 1, head)), "[^a-z0-9 ]", "")
+def _event_key(head: int | None) -> Column:
+    text = F.col("description") if head is None else F.substring("description", 1, head)
+    return F.regexp_replace(F.lower(text), "[^a-z0-9 ]", "")
 
 
-def dedupe_events(events: DataFrame, owner: str, head: int = 70) -> DataFrame:
-    """Keep the first of the events an owner repeats on one day with the same opening words."""
+def dedupe_events(events: DataFrame, owner: str, head: int | None = None) -> DataFrame:
+    """Keep the first of the events an owner repeats on one day in the same words, or the same first `head` letters."""
     keyed = events.withColumn("_key", _event_key(head))
     return top_k(keyed, [owner, "iso", "_key"], [F.col("doc_id"), F.col("ev_pos")], 1, "_rn").drop("_key", "_rn")
 
 
-def case_timeline(events: DataFrame, head: int = 70) -> DataFrame:
+def case_timeline(events: DataFrame, head: int | None = None) -> DataFrame:
     """Case events after de-duplication."""
     return dedupe_events(events, "case", head)
 
@@ -218,9 +219,12 @@ def entity_keywords(entities: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def entity_events(
-    events: DataFrame, doc_entity: DataFrame, keywords: DataFrame, cap: int | None = 80, head: int = 70
+    events: DataFrame, doc_entity: DataFrame, keywords: DataFrame, cap: int | None = None, head: int | None = None
 ) -> DataFrame:
-    """entity, doc_id, ev_pos, iso, display, precision, description: dated sentences that name the entity."""
+    """entity, doc_id, ev_pos, iso, display, precision, description: dated sentences that name the entity.
+
+    All of them, or the first `cap` of each entity.
+    """
     rows = events.join(doc_entity.select("doc_id", F.col("name").alias("entity")), "doc_id")
     rows = rows.withColumn("_low", F.lower("description"))
     named = rows.join(keywords, "entity").filter(F.contains(F.col("_low"), F.col("keyword")))
@@ -229,11 +233,11 @@ def entity_events(
 
 
 def event_index(
-    article_events: DataFrame, entity_timeline: DataFrame, case_timeline: DataFrame, cap: int = 80
+    article_events: DataFrame, entity_timeline: DataFrame, case_timeline: DataFrame, cap: int | None = None
 ) -> DataFrame:
     """path, rank, iso, display, precision, description, source: events shown with a note.
 
-    Articles keep all their events; entities and cases the first `cap`.
+    Articles keep all their events; so do entities and cases, unless `cap` keeps the first few of each.
     """
     columns = ["path", "rank", "iso", "display", "precision", "description", "source"]
     own = article_events.withColumn(
@@ -241,7 +245,8 @@ def event_index(
     )
     shown = [own.select(columns)]
     for df in (entity_timeline, case_timeline):
-        shown.append(top_k(df, ["path"], event_order(), cap).select(columns))
+        numbered = ranked(df, ["path"], event_order()) if cap is None else top_k(df, ["path"], event_order(), cap)
+        shown.append(numbered.select(columns))
     return shown[0].unionByName(shown[1]).unionByName(shown[2])
 
 

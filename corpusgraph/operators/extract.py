@@ -129,8 +129,12 @@ def _iso(year: Column, month: Column, day: Column) -> Column:
     )
 
 
-def extract_dates(docs: DataFrame, min_year: int = 1980, max_year: int = 2026) -> DataFrame:
-    """doc_id, dates (ISO strings) and years, both distinct and sorted.
+def _in_years(year: Column, min_year: int, max_year: int | None) -> Column:
+    return year >= min_year if max_year is None else year.between(min_year, max_year)
+
+
+def extract_dates(docs: DataFrame, min_year: int = 1980, max_year: int | None = None) -> DataFrame:
+    """doc_id, dates (ISO strings) and years, both distinct and sorted; later years than `max_year`, if given, go.
 
     Day numbers up to 31 are accepted in every month, so dates stay strings.
     """
@@ -139,7 +143,7 @@ def extract_dates(docs: DataFrame, min_year: int = 1980, max_year: int = 2026) -
         return F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
 
     def in_years(year: Column) -> Column:
-        return year.between(min_year, max_year)
+        return _in_years(year, min_year, max_year)
 
     def dated(month: Column, day: Column, year: Column) -> Column:
         d, y = day.cast("int"), year.cast("int")
@@ -176,7 +180,7 @@ def sentences(docs: DataFrame) -> DataFrame:
     return once(parts.withColumnRenamed("sentence", "_s"), sentence=F.regexp_replace("_s", f"^{WS}+|{WS}+$", "")).drop("_s")
 
 
-def _first_date(rows: DataFrame, s: str, min_year: int, max_year: int) -> DataFrame:
+def _first_date(rows: DataFrame, s: str, min_year: int, max_year: int | None) -> DataFrame:
     """Add iso, display, precision of the earliest valid date in column `s`; rows without one go.
 
     Only the first match of each form is considered.
@@ -211,7 +215,7 @@ def _first_date(rows: DataFrame, s: str, min_year: int, max_year: int) -> DataFr
         coarse = name == "_month"
         shown = F.concat_ws(" ", word, year) if coarse else F.concat_ws(" ", word, F.concat(d.cast("string"), F.lit(",")), year)
         return F.when(
-            m.between(1, 12) & d.between(1, 31) & y.between(min_year, max_year),
+            m.between(1, 12) & d.between(1, 31) & _in_years(y, min_year, max_year),
             F.struct(
                 F.regexp_instr(s, F.lit(forms[name])).alias("at"),
                 F.lit(int(coarse)).alias("coarse"),
@@ -226,27 +230,37 @@ def _first_date(rows: DataFrame, s: str, min_year: int, max_year: int) -> DataFr
     return rows.drop(*scratch).filter("_first IS NOT NULL").select("*", "_first.iso", "_first.display", "_first.precision").drop("_first")
 
 
-def _description(s: Column) -> Column:
+def _description(s: Column, length: int | None) -> Column:
     text = F.regexp_replace(F.regexp_replace(s, f"{WS}+", " "), r"^[ \"'“‘\-–—•]+", "")
-    text = F.substring(F.rtrim(text), 1, 240)
+    if length is None:
+        return F.trim(text)
+    text = F.substring(F.rtrim(text), 1, length)
     cut_off = F.regexp_replace(text, r" +[^ ]*$", "…")
-    return F.trim(F.when(F.length(s) > 240, cut_off).otherwise(text))
+    return F.trim(F.when(F.length(s) > length, cut_off).otherwise(text))
 
 
-def extract_events(docs: DataFrame, min_year: int = 1980, max_year: int = 2026) -> DataFrame:
-    """doc_id, ev_pos, iso, display, precision, description: one dated event per dated sentence."""
-    long_enough = sentences(docs).filter(F.length("sentence") >= 12)
+def extract_events(
+    docs: DataFrame, min_year: int = 1980, max_year: int | None = None,
+    shortest: int = 1, length: int | None = None, head: int | None = None,
+) -> DataFrame:
+    """doc_id, ev_pos, iso, display, precision, description: one dated event per dated sentence.
+
+    By default nothing is cut or dropped. For short lists, sentences and descriptions of fewer than `shortest` letters
+    go, descriptions end after `length` letters, and equal first `head` letters on one day count as one event.
+    """
+    long_enough = sentences(docs).filter(F.length("sentence") >= shortest)
     # A cheap test first: a date needs a digit.
     dated = long_enough.filter(F.col("sentence").rlike(r"\d{4}"))
-    events = once(_first_date(dated, "sentence", min_year, max_year), description=_description(F.col("sentence")))
-    events = events.filter(F.length("description") >= 12).select(
+    events = once(_first_date(dated, "sentence", min_year, max_year), description=_description(F.col("sentence"), length))
+    opening = F.col("description") if head is None else F.substring("description", 1, head)
+    events = events.filter(F.length("description") >= shortest).select(
         "doc_id",
         F.col("pos").alias("ev_pos"),
         "iso",
         "display",
         "precision",
         "description",
-        F.lower(F.substring("description", 1, 80)).alias("_head"),
+        F.lower(opening).alias("_head"),
     )
     return top_k(events, ["doc_id", "iso", "_head"], [F.col("ev_pos")], 1, "_rn").drop("_head", "_rn")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusgraph.functions.scale import cut, once
 from corpusgraph.functions.text import quoted
 from corpusgraph.operators.tags import has_tag, has_tags
+from corpusgraph.operators.vectors import Embedder, cosine_topk
 
 # ── term scoring and the search box ──────────────────────────────────────────
 
@@ -130,10 +131,10 @@ def expand_terms(
 
 
 def bm25(
-    index: TextIndex, query: str, k: int = 10, fuzzy: float = 0.2, prefix: bool = True,
+    index: TextIndex, query: str, k: int | None = 10, fuzzy: float = 0.2, prefix: bool = True,
     boost: dict[str, float] | None = None, k1: float = 1.2, b: float = 0.7, delta: float = 0.5,
 ) -> DataFrame:
-    """id, score: BM25+ over all fields, times the number of query terms found.
+    """id, score: BM25+ over all fields, times the number of query terms found; the best `k`, or all.
 
     Only postings of expanded terms are read; the expansion is tiny next to
     the postings, so they are filtered where they lie and summed per document.
@@ -148,7 +149,8 @@ def bm25(
     field_boost = F.coalesce(*[F.when(F.col("field") == f, F.lit(float(w))) for f, w in boost.items()], F.lit(1.0))
     part = F.col("weight") * field_boost * idf * (delta + F.col("tf") * (k1 + 1) / norm)
     scored = rows.groupBy("id").agg(F.sum(part).alias("_s"), F.count_distinct("source").alias("_terms"))
-    return scored.select("id", (F.col("_s") * F.col("_terms")).alias("score")).orderBy(F.desc("score"), "id").limit(k)
+    scored = scored.select("id", (F.col("_s") * F.col("_terms")).alias("score"))
+    return scored if k is None else scored.orderBy(F.desc("score"), "id").limit(k)
 
 
 def snippet(body: Column, query: str, before: int = 40, length: int = 120) -> Column:
@@ -174,17 +176,24 @@ def snippets(hits: DataFrame, texts: DataFrame, query: str) -> DataFrame:
     return found.select("id", snippet(F.col("body"), query).alias("snippet"))
 
 
-def hybrid_search(nodes: DataFrame, index: TextIndex, query: str, k: int = 20, extra: int = 5) -> DataFrame:
+def hybrid_search(
+    nodes: DataFrame, index: TextIndex, query: str, k: int = 20, extra: int = 5,
+    vecs: DataFrame | None = None, embedder: Embedder | None = None,
+) -> DataFrame:
     """source, id, score: box hits first, then content hits not already among them.
 
     Queries of tags only search no content. A leading `~` asks for meaning
-    only: use `vectors.cosine_topk` with the embedded query.
+    only: the `k` vectors of `vecs(id, vec)` nearest to the query as `embedder` sees it.
     """
     if query.strip().startswith("~"):
-        raise ValueError("a ~ query is a vector search: embed it and call cosine_topk")
+        if vecs is None or embedder is None:
+            raise ValueError("a ~ query needs vectors and the embedder they were made with")
+        asked = [float(x) for x in embedder([query.strip().removeprefix("~").strip()])[0]]
+        wanted = vecs.sparkSession.createDataFrame([(query, asked)], "query_id string, vec array<double>")
+        return cosine_topk(vecs, wanted, k).select(F.lit("semantic").alias("source"), "id", "score")
     shown = box_search(nodes, query, k)
     title = shown.select(F.lit("title").alias("source"), "id", F.lit(None).cast("double").alias("score"))
     if all(t.startswith("#") for t in query.split()):
         return title
-    content = minus(bm25(index, query, 10), shown, extra)
+    content = minus(bm25(index, query, None), shown, extra)
     return title.unionByName(content.select(F.lit("content").alias("source"), "id", "score"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,7 +119,7 @@ def contains_ai(spark: SparkSession, sf: str) -> DataFrame:
           array_to_string(list_sort(list_distinct(list_filter([year(shipped), year(o_orderdate), l_partkey], lambda x: x BETWEEN 1980 AND 2026))), ',') AS years FROM d_articles""",
 )
 def extract_dates(spark: SparkSession, sf: str) -> DataFrame:
-    found = X.extract_dates(K.articles(spark, sf))
+    found = X.extract_dates(K.articles(spark, sf), max_year=2026)
     return found.select("doc_id", F.array_join("dates", ",").alias("dates"), F.array_join(F.col("years").cast("array<string>"), ",").alias("years"))
 
 
@@ -291,8 +292,7 @@ def entity_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "entity_events",
-    """SELECT entity, doc_id, iso, description FROM d_entity_events
-        QUALIFY row_number() OVER (PARTITION BY entity ORDER BY iso, doc_id, ev_pos) <= 80""",
+    "SELECT entity, doc_id, iso, description FROM d_entity_events",
 )
 def entity_events(spark: SparkSession, sf: str) -> DataFrame:
     return _entity_events(spark, sf).select("entity", "doc_id", "iso", "description")
@@ -311,9 +311,9 @@ def _entity_events(spark: SparkSession, sf: str, events: DataFrame | None = None
     """SELECT 'Reporting/' || note || '.md' AS path, row_number() OVER (PARTITION BY note ORDER BY iso, ev_pos) AS rank, iso, description, note AS source
         FROM d_events JOIN d_articles USING (doc_id)
         UNION ALL SELECT 'Entities/' || entity || '.md', row_number() OVER (PARTITION BY entity ORDER BY iso, doc_id, ev_pos) AS rank, iso, description, doc_id
-        FROM d_entity_events QUALIFY rank <= 80
+        FROM d_entity_events
         UNION ALL SELECT 'Cases/' || "case" || '.md', row_number() OVER (PARTITION BY "case" ORDER BY iso, doc_id, ev_pos) AS rank, iso, description, note
-        FROM d_timeline QUALIFY rank <= 80""",
+        FROM d_timeline""",
 )
 def event_index(spark: SparkSession, sf: str) -> DataFrame:
     t = CaseTables(spark, sf)
@@ -503,3 +503,24 @@ def table_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/corpusgraph-tables-{uuid.uuid4().hex}"
     S.write_tables({"articles": typed_articles(spark, sf).select("doc_id", "type", "folder")}, path)
     return spark.read.parquet(f"{path}/articles").groupBy("type").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
+
+
+@query(
+    "posts_fields",
+    r"""SELECT doc_id, 'doc-' || doc_id AS slug, 'Doc ' || doc_id AS title, coalesce(lang, '') AS categories, coalesce(source, '') AS authors,
+          coalesce(lang || '-' || source, '') AS tags, trim(regexp_replace(text, '\n+', ' ', 'g')) AS excerpt FROM documents""",
+)
+def posts_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents landed as JSON posts, one a line, read back and their lists made plain."""
+    key = F.col("doc_id").cast("string")
+    post = F.struct(
+        F.col("doc_id").alias("id"), F.concat(F.lit("doc-"), key).alias("slug"), F.concat(F.lit("Doc "), key).alias("title"), F.col("text").alias("excerpt"),
+        F.array(F.struct(F.lit(7).alias("id"), F.col("lang").alias("title"))).alias("categories"),
+        F.array(F.struct(F.col("source").alias("name"))).alias("authors"),
+        F.array(F.struct(F.concat("lang", F.lit("\u00a0 "), "source").alias("title"))).alias("tags"),
+    )
+    path = f"{checkpoint_root(spark)}/corpusgraph-{uuid.uuid4().hex}"
+    K.documents(spark, sf).select(F.to_json(post).alias("value")).write.text(path)
+    rows = P.normalise_posts(P.read_posts(spark, path, lines=True))
+    lists = [F.array_join(c, "|").alias(c) for c in ("categories", "authors", "tags")]
+    return rows.select("doc_id", "slug", "title", *lists, "excerpt")

@@ -56,7 +56,7 @@ def box_search(spark: SparkSession, sf: str) -> DataFrame:
 _WORDS = r"regexp_extract_all(lower({0}), '[^\n\r\pZ\pP]+')"
 
 
-def _bm25_sql(query_text: str, fuzzy: float, prefix: bool, k: int) -> str:
+def _bm25_sql(query_text: str, fuzzy: float, prefix: bool, k: int | None) -> str:
     """The ranking formula over the document notes, as SQL."""
     weights = []
     for term in dict.fromkeys(query_text.lower().split()):
@@ -77,7 +77,7 @@ def _bm25_sql(query_text: str, fuzzy: float, prefix: bool, k: int) -> str:
         r AS (SELECT id, source, weight * CASE WHEN field = 'title' THEN 2.0 ELSE 1.0 END * ln(1 + (n - df + 0.5) / (df + 0.5))
             * (0.5 + tf * 2.2 / (tf + 1.2 * (0.3 + 0.7 * len / av))) AS s
           FROM p JOIN x USING (term) JOIN df USING (term, field) JOIN st USING (field) JOIN l USING (id, field)),
-        hits AS (SELECT id, sum(s) * count(DISTINCT source) AS score FROM r GROUP BY id ORDER BY score DESC, id LIMIT {k})"""
+        hits AS (SELECT id, sum(s) * count(DISTINCT source) AS score FROM r GROUP BY id ORDER BY score DESC, id{f' LIMIT {k}' if k else ''})"""
 
 
 def _index(spark: SparkSession, sf: str) -> S.TextIndex:
@@ -125,7 +125,7 @@ def snippets(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "hybrid_search",
-    f"""WITH {_bm25_sql('tion the', 0.2, True, 10)}, box AS (SELECT id FROM d_docparsed
+    f"""WITH {_bm25_sql('tion the', 0.2, True, None)}, box AS (SELECT id FROM d_docparsed
           WHERE contains(lower(label || ' ' || excerpt || ' ' || id), 'tion') AND contains(lower(label || ' ' || excerpt || ' ' || id), 'the') ORDER BY id LIMIT 20)
         SELECT 'title' AS source, id, NULL::DOUBLE AS score FROM box UNION ALL SELECT * FROM (
           SELECT 'content', id, round(score, 6) FROM hits WHERE id NOT IN (SELECT id FROM box) ORDER BY score DESC, id LIMIT 5)""",
@@ -210,6 +210,22 @@ def refresh_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("id", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss").alias("mtime"), F.size("vec").alias("dim"))
 
 
+@query(
+    "embedding_cache",
+    """SELECT vec_id AS id, 'first' AS model, CAST(embedding[1] AS DOUBLE) AS x, len(embedding) AS dim FROM embeddings
+        UNION ALL SELECT vec_id, 'second', -CAST(embedding[1] AS DOUBLE), len(embedding) FROM embeddings""",
+)
+def embedding_cache(spark: SparkSession, sf: str) -> DataFrame:
+    """Two models saved one after the other into one cache, and both read back."""
+    path = f"{checkpoint_root(spark)}/corpusgraph-{uuid.uuid4().hex}/cache"
+    for model, sign in (("first", 1.0), ("second", -1.0)):
+        vec = F.transform("vec", lambda x: (x * F.lit(sign)).cast("float"))  # noqa: B023
+        rows = _vectors(spark, sf).select("id", F.lit(0).alias("mtime"), F.lit(model).alias("model"), F.lit(1).alias("version"), vec.alias("vec"))
+        V.save_embeddings(rows, path)
+    both = V.load_embeddings(spark, path, "first", 1).unionByName(V.load_embeddings(spark, path, "second", 1))
+    return both.select("id", "model", F.col("vec")[0].cast("double").alias("x"), F.size("vec").cast("long").alias("dim"))
+
+
 @query(
     "enrich_hits",
     """SELECT e.vec_id AS id, coalesce('doc ' || d.doc_id, CAST(e.vec_id AS VARCHAR)) AS label, coalesce(left(d.text, 120), '') AS excerpt

@@ -357,7 +357,22 @@ def venn_assign(spark: SparkSession, sf: str) -> DataFrame:
     return _assigned(spark, sf)[0]
 
 
-@query("venn_backfill")
+# Tags in order of size; each step moves the first free nodes of a tag's overlaps.
+_BACKFILL = f"""WITH RECURSIVE assigned AS ({_ASSIGN}),
+        need AS (SELECT tag, row_number() OVER (ORDER BY n DESC, tag) AS pos, greatest(3 - coalesce(filled, 0), 0) AS need, coalesce(ids, []) AS ids
+          FROM d_top LEFT JOIN (SELECT box, count(*) AS filled FROM assigned GROUP BY box) f ON f.box = tag
+          LEFT JOIN (SELECT half, list(id ORDER BY id) AS ids FROM (SELECT id, unnest(string_split(box, '∩')) AS half FROM assigned
+            WHERE contains(box, '∩') AND matched >= 2) GROUP BY half) c ON c.half = tag),
+        step AS (SELECT CAST(0 AS BIGINT) AS pos, CAST([] AS VARCHAR[]) AS ids, CAST([] AS VARCHAR[]) AS boxes
+          UNION ALL SELECT pos, list_concat(old, pick), list_concat(boxes, list_transform(pick, lambda x: tag)) FROM (
+            SELECT n.pos, n.tag, s.ids AS old, s.boxes, list_filter(n.ids, lambda x: NOT list_contains(s.ids, x))[1:n.need] AS pick
+            FROM step s JOIN need n ON n.pos = s.pos + 1)),
+        moved AS (SELECT unnest(ids) AS id, unnest(boxes) AS new_box FROM (SELECT * FROM step ORDER BY pos DESC LIMIT 1))
+        SELECT a.id, coalesce(new_box, box) AS box, CASE WHEN new_box IS NOT NULL THEN 1 ELSE matched END AS matched
+        FROM assigned a LEFT JOIN moved ON moved.id = a.id"""
+
+
+@query("venn_backfill", _BACKFILL)
 def venn_backfill(spark: SparkSession, sf: str) -> DataFrame:
     assigned, top = _assigned(spark, sf)
     return A.venn_backfill(cut(assigned), top)

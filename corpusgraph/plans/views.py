@@ -57,12 +57,12 @@ VIEWS = {
           SELECT 1 FROM d_keywords k WHERE k."case" = m."case" AND contains(lower(e.description), k.keyword)))""",
     "d_timeline": """
         SELECT * FROM d_case_events QUALIFY row_number() OVER (PARTITION BY "case", iso,
-          regexp_replace(lower(left(description, 70)), '[^a-z0-9 ]', '', 'g') ORDER BY doc_id, ev_pos) = 1""",
+          regexp_replace(lower(description), '[^a-z0-9 ]', '', 'g') ORDER BY doc_id, ev_pos) = 1""",
     "d_entity_events": """
         SELECT name AS entity, e.* FROM d_events e JOIN d_doc_entity d USING (doc_id)
         WHERE contains(lower(description), lower(name))
         QUALIFY row_number() OVER (PARTITION BY name, iso,
-          regexp_replace(lower(left(description, 70)), '[^a-z0-9 ]', '', 'g') ORDER BY doc_id, ev_pos) = 1""",
+          regexp_replace(lower(description), '[^a-z0-9 ]', '', 'g') ORDER BY doc_id, ev_pos) = 1""",
     "d_brands": """
         SELECT DISTINCT l_orderkey AS doc_id, p_brand AS name FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "d_brand_pairs": """
