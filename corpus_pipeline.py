@@ -9,12 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.scale import checkpoint_root
-from corpusgraph.llm import byte_bpe, decontaminate, language_id, ngram_join, pii
+from corpusgraph.llm import byte_bpe, decontaminate, familiarity, language_id, ngram_join, pii
 from corpusgraph.llm.quality_classifier import held_out
 
-#: Documents whose language is less likely than this are rejected, as are those without any letter.
-#: Low on purpose: short clean texts and half-trained networks give scores of 0.3 to 0.5 for the right language.
-LEAST_LANGUAGE = 0.25
 RANKS = "byte_bpe_50k.tiktoken"
 
 #: SQL cannot express recurrent networks and byte-pair merges.
@@ -29,9 +26,10 @@ def _unused(docs: DataFrame, name: str) -> str:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter, and those whose language stays unclear.
+    """Drop documents without a letter, garbled and foreign ones, and those whose language stays unclear.
 
-    The network learns from the labelled four fifths; without any label nothing can be told, and all rows stay.
+    The network learns from the labelled four fifths, as do the bounds by length on its score above chance and on how
+    familiar the letters are; without any label nothing can be told, and all rows stay.
     """
     learned = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     net = language_id.learn(learned)
@@ -39,7 +37,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         return docs
     into = _unused(docs, "_language")
     found = language_id.identify(docs, net, into=into)
-    clear = (F.col(f"{into}.lang_pred") != language_id.UNKNOWN) & (F.col(f"{into}.score") >= LEAST_LANGUAGE)
+    clear = F.col(f"{into}.lang_pred") != language_id.UNKNOWN
+    known = familiarity.learn(learned)
+    if known is not None:
+        tested = language_id.identify(familiarity.find(familiarity.uncounted(learned), known, into="f"), net, into="l", keep=["lang", "f"])
+        chance = 1 / len(net.langs)
+        least = familiarity.least(tested, F.col("l.score") - chance, F.col("f.letters"))
+        own = _unused(found, "_familiar")
+        found = familiarity.find(found, known, into=own)
+        # Place 0 of the bounds is for no letter, which is rejected anyway.
+        bound = F.element_at(F.array(*map(F.lit, least[1:].tolist())), F.length(F.bin(f"{own}.letters")))
+        clear &= F.col(f"{own}.clear") & (F.col(f"{into}.score") - chance >= bound)
+        return found.filter(clear).drop(into, own)
     return found.filter(clear).drop(into)
 
 
