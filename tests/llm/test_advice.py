@@ -42,3 +42,18 @@ def test_familiarity_by_hand():
     bits[1, place[:2]] = 3
     best, letters = familiarity.judge(familiarity.Familiar(bits, np.full(65, -np.inf)), pa.array(texts))
     assert letters.tolist() == [2, 0, 0, 1, 6] and best[[0, 3, 4]].tolist() == [3, 0, 1] and np.isnan(best[[1, 2]]).all()
+
+
+def test_pii_keys_in_any_case():
+    from corpusgraph.llm import pii
+
+    rng = random.Random(6)
+    odd = {"s": "sSſ", "k": "kKK", "i": "iIİı"}
+    for key in ["apiKey", "ApiKey", "API_Key", "Api_Key", "PassWord", "passWD", "SeCret", "tOKen"]:
+        assert [s[:3] for s in pii.find(f"{key}=abc12345x")] == [("secret", len(key) + 1, len(key) + 10)], key
+        assert pii.mask(f"{key}: abc12345x", pii.find(f"{key}: abc12345x")) == f"{key}: [SECRET]"
+    for _ in range(3000):
+        key = "".join(rng.choice(odd.get(c, c + c.upper())) for c in rng.choice(["password", "passwd", "secret", "token", "api_key", "apikey", "apiky"]))
+        text = f"{rng.choice(['', 'a ', 'ß '])}{key}{rng.choice(['=', ': ', ' '])}{rng.choice(['abc12345x', 'abcdefghij'])}"
+        want = [("secret", *m.span(1)) for m in pii._ASSIGNED.finditer(text) if any(map(str.isdigit, m[1]))]
+        assert [s[:3] for s in pii.find(text)] == want, text
