@@ -16,21 +16,24 @@ equal texts get equal answers; without labelled texts everything is `und`.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusgraph.llm.common import DOUBLE, STRING, annotate, buffers, quoted, record
+from corpusgraph.llm.common import BINARY, DOUBLE, LONG, STRING, U64, annotate, bounded_batches, buffers, mix, quoted, record, slices
 
 HIDDEN = 6
 WINDOW = 64
-#: Documents to learn from, at most, and windows from each.
+#: Different texts to learn from, at most, and windows from each.
 SAMPLE = 2000
+PIECES = 32
 RESULT = record(lang_pred=STRING, score=DOUBLE)
+_PIECES = record(lang=STRING, key=LONG, pieces=T.ArrayType(BINARY))
 UNKNOWN = "und"
 
 
@@ -137,13 +140,13 @@ def windows(data: np.ndarray, at: np.ndarray, width: int = WINDOW) -> tuple[np.n
 
 
 def train(
-    texts: list[str], targets: list[str], *, steps: int = 240, batch: int = 192, width: int = WINDOW, rate: float = 0.02, seed: int = 5
+    texts: list[str] | list[bytes], targets: list[str], *, steps: int = 240, batch: int = 192, width: int = WINDOW, rate: float = 0.02, seed: int = 5
 ) -> Network | None:
     """Adam steps on random windows of the texts, languages equally often."""
     langs = tuple(sorted(set(targets)))
     pool: list[list[tuple[np.ndarray, int]]] = [[] for _ in langs]
     for text, lang in zip(texts, targets, strict=True):
-        raw = np.frombuffer(text.encode(), np.uint8)
+        raw = np.frombuffer(text.encode() if isinstance(text, str) else text, np.uint8)
         if len(raw):
             pool[langs.index(lang)].append((raw, len(raw)))
     held = [k for k, p in enumerate(pool) if p]
@@ -217,23 +220,42 @@ def label(net: Network, data: np.ndarray, at: np.ndarray, block: int = 8192) ->
     return sums / np.maximum(np.diff(at), 1)[:, None]
 
 
-def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE, most_bytes: int = 4096) -> Network | None:
-    """Network from at most `sample` labelled documents of the given ones, a like share of each language, chosen by a hash.
+def pieces(text: bytes, key: int, width: int = WINDOW, n: int = PIECES) -> list[bytes]:
+    """`n` windows at places hashed from the key, over the whole text; a short text is its own window each time."""
+    places = mix(np.arange(n, dtype=U64) + U64(key % (1 << 64))) % U64(max(1, len(text) - width + 1))
+    return [text[at : at + width] for at in places.tolist()]
 
-    Only training looks at the first `most_bytes` characters of a sampled text; labelling reads whole texts.
+
+def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Network | None:
+    """Network from about `sample` different labelled texts, a like share of each language, chosen by a hash.
+
+    Only windows of the chosen texts, from anywhere in them, come to the driver.
     """
-    known = docs.select(F.substring(F.col(f"`{text}`").cast("string"), 1, most_bytes).alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
-    known = known.dropna().filter(F.col("text").rlike(r"\p{L}"))
-    keyed = known.withColumn("key", F.xxhash64("text"))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    known = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
+    keyed = known.dropna().filter(F.col("text").rlike(r"\p{L}")).withColumn("key", F.xxhash64("text"))
+    counts = {r["lang"]: r["count"] for r in keyed.groupBy("lang").count().collect()}
     if not counts:
         return None
     share = max(1, sample // len(counts))
-    # Keys are uniform, so a bound on them keeps about twice the share before the exact cut.
+    # Keys are uniform, so a bound on them keeps about twice the share before the cut.
     bound = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2 * share / n)))])
     place = (F.col("key").cast("double") / 2.0**63 + 1) / 2
-    rows = keyed.filter(place <= F.try_element_at(bound, F.col("lang"))).select("key", "text", "lang").orderBy("key", "text", "lang").limit(2 * sample).toArrow()
-    return train(rows.column("text").to_pylist(), rows.column("lang").to_pylist())
+    near = keyed.filter(place <= F.try_element_at(bound, F.col("lang"))).select("lang", "key")
+    chosen = {(r["lang"], r["key"]) for r in near.orderBy("key", "lang").limit(2 * sample).collect()}
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                rows = zip(*(part.column(i).to_pylist() for i in range(3)), strict=True)
+                out = [(x, k, pieces(t.encode(), k)) for x, k, t in rows if (x, k) in chosen]
+                if out:
+                    kinds = (pa.string(), pa.int64(), pa.list_(pa.binary()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=_PIECES.names)
+
+    texts = keyed.filter(F.col("key").isin([k for _, k in chosen])).select("lang", "key", "text")
+    rows = texts.mapInArrow(run, _PIECES).dropDuplicates(["lang", "key"]).orderBy("lang", "key").collect()
+    return train([bytes(p) for r in rows for p in r["pieces"]], [r["lang"] for r in rows for _ in r["pieces"]])
 
 
 def _worker(net: Network | None) -> Callable[[pa.Array], pa.Array]:

@@ -57,3 +57,18 @@ def test_pii_keys_in_any_case():
         text = f"{rng.choice(['', 'a ', 'ß '])}{key}{rng.choice(['=', ': ', ' '])}{rng.choice(['abc12345x', 'abcdefghij'])}"
         want = [("secret", *m.span(1)) for m in pii._ASSIGNED.finditer(text) if any(map(str.isdigit, m[1]))]
         assert [s[:3] for s in pii.find(text)] == want, text
+
+
+def test_language_learns_from_whole_texts(spark):
+    from corpusgraph.llm import language_id
+
+    rng = random.Random(7)
+    rows = [(i, "1 2 3 " * 900 + _prose(rng, TONGUES[lang], 900), lang, "s", 0) for i, lang in enumerate(["aa", "bb"] * 30)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    net = language_id.learn(docs)
+    assert net is not None and net.langs == ("aa", "bb")
+    plain = spark.createDataFrame([(i, _prose(rng, TONGUES[lang], 60), lang, "s", 0) for i, lang in enumerate(["aa", "bb"] * 10)], SCHEMA)
+    assert language_id.identify(plain, net).filter("language.lang_pred <> lang").count() == 0
+    text = bytes(rng.randrange(256) for _ in range(9000))
+    assert max(text.find(p) for p in language_id.pieces(text, -5)) > 6000
+    assert set(language_id.pieces(b"short", 9)) == {b"short"}
