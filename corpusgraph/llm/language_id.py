@@ -21,10 +21,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusgraph.functions.scale import cut
 from corpusgraph.llm.common import BINARY, DOUBLE, LONG, STRING, U64, annotate, bounded_batches, buffers, mix, quoted, record, slices
 
 HIDDEN = 6
@@ -227,21 +228,24 @@ def pieces(text: bytes, key: int, width: int = WINDOW, n: int = PIECES) -> list[
 
 
 def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Network | None:
-    """Network from about `sample` different labelled texts, a like share of each language, chosen by a hash.
+    """Network from at most `sample` different labelled texts, an exact like share of each language (one at least), chosen by a hash.
 
     Only windows of the chosen texts, from anywhere in them, come to the driver.
     """
     known = docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     keyed = known.dropna().filter(F.col("text").rlike(r"\p{L}")).withColumn("key", F.xxhash64("text"))
-    counts = {r["lang"]: r["count"] for r in keyed.groupBy("lang").count().collect()}
+    # Copies count once.
+    keys = cut(keyed.select("lang", "key").distinct())
+    counts = {r["lang"]: r["count"] for r in keys.groupBy("lang").count().collect()}
     if not counts:
         return None
     share = max(1, sample // len(counts))
-    # Keys are uniform, so a bound on them keeps about twice the share before the cut.
-    bound = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2 * share / n)))])
+    # Different keys are uniform, so a bound on them leaves few rows for the exact cut, but surely the share.
+    bound = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, (2 * share + 40) / n)))])
     place = (F.col("key").cast("double") / 2.0**63 + 1) / 2
-    near = keyed.filter(place <= F.try_element_at(bound, F.col("lang"))).select("lang", "key")
-    chosen = {(r["lang"], r["key"]) for r in near.orderBy("key", "lang").limit(2 * sample).collect()}
+    ranked = keys.filter(place <= F.try_element_at(bound, F.col("lang")))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
+    chosen = {(r["lang"], r["key"]) for r in ranked.filter(F.col("rank") <= share).collect()}
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -72,3 +72,21 @@ def test_language_learns_from_whole_texts(spark):
     text = bytes(rng.randrange(256) for _ in range(9000))
     assert max(text.find(p) for p in language_id.pieces(text, -5)) > 6000
     assert set(language_id.pieces(b"short", 9)) == {b"short"}
+
+
+def test_language_sample_is_exact_and_counts_copies_once(spark, monkeypatch):
+    from corpusgraph.llm import language_id
+
+    # Copies of the texts with the smallest keys, as many as there is room for.
+    texts = spark.createDataFrame([(f"aa word {k}",) for k in range(400)], "text string").orderBy(F.xxhash64("text"))
+    texts = [r.text for r in texts.collect()]
+    rows = [(0, t, "aa", "s", 0) for t in [*texts, *texts[:2] * 300]] + [(0, f"bb word {k}", "bb", "s", 0) for k in range(60)]
+    seen = {}
+
+    def train(texts, targets):
+        for t, lang in zip(texts, targets, strict=True):
+            seen.setdefault(lang, set()).add(bytes(t) if isinstance(t, bytes) else t.encode())
+
+    monkeypatch.setattr(language_id, "train", train)
+    language_id.learn(spark.createDataFrame(rows, SCHEMA), sample=40)
+    assert {lang: len(own) for lang, own in seen.items()} == {"aa": 20, "bb": 20}
