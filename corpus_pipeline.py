@@ -57,14 +57,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Texts without words, and rows without an id, are in no group and stay.
     """
-    groups = ngram_join.jaccard_components(docs)
-    surplus = groups.filter("doc_id IS NOT NULL AND component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(surplus, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
-    repeated = groups.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    groups = ngram_join.jaccard_components(docs, digested=True)
+    names = [f"`{c}`" for c in docs.columns]
+    surplus = groups.filter("doc_id IS NOT NULL AND component_id <> doc_id").select("doc_id", "one", "two").distinct()
+    repeated = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if not repeated.head(1):
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*[f"`{c}`" for c in docs.columns])
+        return docs.join(surplus.select("doc_id"), "doc_id", "left_anti").select(*names)
+    single = docs.join(repeated, "doc_id", "left_anti").join(surplus.select("doc_id"), "doc_id", "left_anti").select(*names)
+    # An id may stand for several texts; each goes or stays by its own digest.
+    own = _unused(docs, "_set")
+    several = docs.join(repeated, "doc_id", "left_semi")
+    several = ngram_join.digests(several.select(F.struct(*names).alias(own), "doc_id", "text"))
+    several = several.join(surplus, ["doc_id", "one", "two"], "left_anti")
+    once = several.filter("one IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(several.filter("one IS NULL"))
+    return single.unionByName(once.select(f"{own}.*")).select(*names)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

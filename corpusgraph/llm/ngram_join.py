@@ -21,7 +21,9 @@ arrays per bucket of n-grams, pairs as ids; texts are joined to pairs only for
 the classes that occur in one.
 
 Defined results: null, empty and blank texts have an empty set and are their
-own component; repeated rows and ids each get a row; no documents, no rows.
+own component; repeated rows and ids each get a row; texts without an id link
+as others do, and their component is null if no text in it has an id; no
+documents, no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusgraph.functions.scale import cut, discard
-from corpusgraph.llm.common import BINARY, LONG, LOWER, NOT_BLANK, U64, Words, bounded_batches, buffers, grams, mix, record, sequence_hash, slices, words
+from corpusgraph.llm.common import BINARY, LONG, LOWER, NOT_BLANK, U64, Words, annotate, bounded_batches, buffers, grams, mix, quoted, record, sequence_hash, slices, words
 from corpusgraph.operators.graph import component_labels
 
 #: Counters of the sketch, and rows they are sent in.
@@ -251,11 +253,39 @@ def _lists(packed: DataFrame, percent: int) -> DataFrame:
 _CHECKED = record(a=LONG, b=LONG, common=LONG, total=LONG)
 
 
-def _compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+def digests(docs: DataFrame, n: int = 5) -> DataFrame:
+    """The rows with `one` and `two`, the digest of each text's set (null for an empty set)."""
+    kind = record(one=LONG, two=LONG)
+
+    def work(texts: pa.Array) -> pa.Array:
+        out = [(None, None)] * len(texts)
+        for i, own in sets(*buffers(texts), n):
+            out[i] = digest(own)
+        one, two = zip(*out, strict=True)
+        return pa.StructArray.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=kind.names)
+
+    into = "_digest"
+    while into in docs.columns:
+        into += "_"
+    found = annotate(docs, "text", lambda: work, kind, into)
+    return found.select(*quoted(docs.columns), f"{into}.one", f"{into}.two")
+
+
+def _unnamed(classes: DataFrame, docs: DataFrame, n: int) -> DataFrame | None:
+    """one, text of the classes of which no row has an id; None if there are none."""
+    own = classes.filter("doc_id IS NULL").select("one")
+    if not own.head(1):
+        return None
+    return cut(digests(docs.filter("doc_id IS NULL").select("text"), n).join(own, "one", "left_semi").select("one", "text").dropDuplicates(["one"]))
+
+
+def _compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, unnamed: DataFrame | None) -> DataFrame:
     """a, b, common, total (size of the union) of class pairs, from the texts of one document of each class."""
     own = classes.select("one", "doc_id")
     need = pairs.select(F.col("a").alias("one")).union(pairs.select(F.col("b").alias("one"))).distinct()
     body = docs.select("doc_id", "text").join(own.join(need, "one", "left_semi"), "doc_id").select("one", "text")
+    if unnamed is not None:
+        body = body.union(unnamed.join(need, "one", "left_semi").select("one", "text"))
     body = cut(body)
     left = body.select(F.col("one").alias("a"), F.col("text").alias("text_a"))
     right = body.select(F.col("one").alias("b"), F.col("text").alias("text_b"))
@@ -270,9 +300,9 @@ def _compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> D
                 for i, mine in sets(*buffers(part.column(3)), n):
                     if a[i] != last[0]:
                         one = [s for _, s in sets(*buffers(part.column(2).slice(i, 1)), n)]
-                        last = (a[i], one[0]) if one else (None, np.zeros(0, U64))
-                    # A document id may stand for several texts; only the class's own text counts.
-                    if len(last[1]) and digest(last[1])[0] == a[i] and digest(mine)[0] == b[i]:
+                        # A document id may stand for several texts; only the class's own text counts.
+                        last = (a[i], one[0]) if one and digest(one[0])[0] == a[i] else (None, np.zeros(0, U64))
+                    if len(last[1]) and digest(mine)[0] == b[i]:
                         common = len(np.intersect1d(last[1], mine, assume_unique=True))
                         out.append((a[i], b[i], common, len(last[1]) + len(mine) - common))
                 if out:
@@ -361,9 +391,10 @@ def _open_pairs(parts: DataFrame, known: DataFrame, scanned: DataFrame, percent:
 
 
 def jaccard_components(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, rounds: int = 1
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, rounds: int = 1,
+    digested: bool = False,
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable by links), one row per document.
+    """doc_id, n_shingles, component_id (smallest id reachable by links), one row per document; if `digested` also one and two.
 
     Two documents link when 100 * common n-grams >= percent * n-grams of either.
     """
@@ -373,12 +404,13 @@ def jaccard_components(
     level = _sketch(scanned)
     rows = scanned.filter("chunk IS NULL").select("doc_id", "n", "one", "two")
     classes = cut(rows.filter("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
+    unnamed = _unnamed(classes, docs, n)
     total = classes.agg(F.sum("n")).first()[0] or 0
     n_buckets = 1 + int(total * (100 - percent) / 100) // BUCKET_ENTRIES
 
     lists = cut(_lists(_prefixes(docs, n, percent, level, n_buckets), percent))
     stars = lists.filter("leader <> key").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-    known = _compare(stars, classes, docs, n)
+    known = _compare(stars, classes, docs, n, unnamed)
     linked = F.col("common") * 100 >= F.col("total") * percent
     links = known.filter(linked)
 
@@ -392,18 +424,18 @@ def jaccard_components(
         asked = cut(asked)
         if not asked.head(1):
             break
-        tried = _compare(asked, classes, docs, n)
+        tried = _compare(asked, classes, docs, n, unnamed)
         known = cut(known.unionByName(tried))
         before, labels = labels, _merged(labels, tried.filter(linked))
         if labels is not before:
             parts = _parts(held, labels)
     rest = cut(_open_pairs(parts, known, scanned, percent))
-    final = _merged(labels, _compare(rest, classes, docs, n).filter(linked)) if rest.head(1) else labels
+    final = _merged(labels, _compare(rest, classes, docs, n, unnamed).filter(linked)) if rest.head(1) else labels
     named = classes.join(final.withColumnRenamed("id", "one"), "one", "left").withColumn("part", F.coalesce("component", "one"))
     smallest = named.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     by_class = named.join(smallest, "part").select("one", "two", "component_id")
     out = rows.join(by_class, ["one", "two"], "left")
-    out = cut(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
-    for used in (scanned, classes, lists, known, held, parts, rest, final):
+    out = cut(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), *(["one", "two"] if digested else [])))
+    for used in (scanned, classes, lists, known, held, parts, rest, final, *([] if unnamed is None else [unnamed])):
         discard(used)
     return out

@@ -90,3 +90,19 @@ def test_language_sample_is_exact_and_counts_copies_once(spark, monkeypatch):
     monkeypatch.setattr(language_id, "train", train)
     language_id.learn(spark.createDataFrame(rows, SCHEMA), sample=40)
     assert {lang: len(own) for lang, own in seen.items()} == {"aa": 20, "bb": 20}
+
+
+def test_near_copies_without_an_id_and_ids_of_two_texts(spark):
+    import corpus_pipeline
+    from corpusgraph.llm import ngram_join
+
+    def text(name, first, last):
+        return " ".join([f"{name}{k}" for k in range(first, last)])
+
+    # 1 and 2 hang together only through a text without an id; 5 is a near copy of 4 and another, clean text.
+    rows = [(1, text("a", 0, 100)), (None, text("a", 8, 108)), (2, text("a", 16, 116)), (4, text("b", 0, 100)), (5, text("b", 2, 102)), (5, text("c", 0, 100)), (5, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    found = sorted(((r.doc_id or 0, r.component_id or 0) for r in ngram_join.jaccard_components(docs).collect()))
+    assert found == [(0, 1), (1, 1), (2, 1), (4, 4), (5, 4), (5, 5), (5, 5)]
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert kept == {rows[0], rows[1], rows[3], rows[5], rows[6]}
