@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # Blanks as the ECMAScript standard lists them.
 BLANKS = r"\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 WS = f"[{BLANKS}]"
+_BLANK = re.compile(WS)
+BLANK_CHARS = "".join(c for c in map(chr, range(0x10000)) if _BLANK.match(c))
 # ASCII word boundary, the same on every Java version.
 EDGE = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
 
@@ -28,8 +30,11 @@ _TO = "".join(b for _, b in _FOLDED)
 
 
 def trim_blanks(col: Column) -> Column:
-    """Without blanks of any kind at either end; line ends and no-break spaces count."""
-    return F.regexp_replace(col, rf"^{WS}+|{WS}+\z", "")
+    """Without blanks of any kind at either end; line ends and no-break spaces count.
+
+    A pattern for the end of a text would be tried at every blank of every run; this reads each end once.
+    """
+    return F.btrim(col, F.lit(BLANK_CHARS))
 
 
 def squeeze(col: Column) -> Column:
@@ -38,7 +43,8 @@ def squeeze(col: Column) -> Column:
 
 
 def last_word(col: Column) -> Column:
-    return F.regexp_extract(col, f"([^{BLANKS}]*)$", 1)
+    """What follows the last blank."""
+    return F.substring_index(F.translate(col, BLANK_CHARS, " " * len(BLANK_CHARS)), " ", -1)
 
 
 def fold(col: Column) -> Column:
@@ -83,7 +89,7 @@ def internal_slug(url: Column, hosts: Sequence[str], base_host: str | None = Non
     relative = ~url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") & ~url.startswith("//")
     host = F.when(relative, F.lit(base_host or hosts[0])).otherwise(host)
     path = F.regexp_extract(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", ""), r"^([^?#]*)", 1)
-    segment = F.regexp_replace(path, r"^/+|/+$", "")
+    segment = F.btrim(path, F.lit("/"))
     good = (
         host.isin([h.lower() for h in hosts])
         & (segment != "")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusgraph.functions.defaults import MONTHS
 from corpusgraph.functions.scale import cut, once, top_k
-from corpusgraph.functions.text import EDGE, WS, squeeze
+from corpusgraph.functions.text import EDGE, WS, squeeze, trim_blanks
 
 _ASCII = (r"[A-Z][a-zA-Z'’-]+", "[A-Z]")
 _UNICODE = (r"\p{Lu}[\p{L}\p{M}'’-]+", r"\p{Lu}")
@@ -177,7 +177,7 @@ def sentences(docs: DataFrame) -> DataFrame:
     # `split` compiles its pattern for every row unless it is one plain character.
     marked = F.regexp_replace("text", SENTENCE_END, _MARK)
     parts = docs.select("doc_id", F.posexplode(F.split(marked, _MARK)).alias("pos", "sentence"))
-    return once(parts.withColumnRenamed("sentence", "_s"), sentence=F.regexp_replace("_s", f"^{WS}+|{WS}+$", "")).drop("_s")
+    return once(parts.withColumnRenamed("sentence", "_s"), sentence=trim_blanks(F.col("_s"))).drop("_s")
 
 
 def _first_date(rows: DataFrame, s: str, min_year: int, max_year: int | None) -> DataFrame:

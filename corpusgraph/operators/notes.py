@@ -106,7 +106,7 @@ def bodies(notes: DataFrame) -> DataFrame:
 def _stripped(body: Column) -> Column:
     """Text below the front matter block, if the note has one."""
     end = F.locate("\n---", body, 4)
-    below = F.regexp_replace(F.substring(body, end + 4, F.length(body)), f"^{WS}+|{WS}+$", "")
+    below = trim_blanks(F.substring(body, end + 4, F.length(body)))
     return F.when(body.startswith("---") & (end > 0), below).otherwise(body)
 
 
@@ -115,7 +115,6 @@ def front_matter_map(notes: DataFrame) -> DataFrame:
     body = F.col("body")
     end = F.locate("\n---", body, 4)
     block = F.when(body.startswith("---") & (end > 0), trim_blanks(F.substring(body, F.lit(4), end - 4)))
-    block = F.regexp_replace(block, f"^{WS}+|{WS}+$", "")
     lines = notes.select("path", F.split(block, "\n").alias("lines")).filter("lines IS NOT NULL")
 
     def is_item(line: Column) -> Column:

@@ -112,7 +112,7 @@ def richtext_blocks(nodes: DataFrame) -> DataFrame:
         F.max(F.when(own & (F.col("type") == "heading"), F.least(level, F.lit(6)))).alias("level"),
         F.bool_or(F.when(own & (F.col("type") == "listitem"), F.col("ordered"))).alias("ordered"),
         F.max(F.when(own & (F.col("type") == "listitem"), F.col("item"))).alias("item"),
-        F.regexp_replace(_in_order(leaf), r"^\s+|\s+$", "").alias("text"),
+        F.btrim(_in_order(leaf), F.lit(" \t\n\x0b\x0c\r")).alias("text"),
         F.bit_or(F.when(F.col("type") == "text", F.col("format")).otherwise(0)).alias("marks"),
         F.max(F.when(own, F.col("url"))).alias("url"),
         F.max(F.when(own, F.col("alt"))).alias("alt"),

@@ -31,3 +31,23 @@ def test_model_runs_once(spark):
     plan = vectors.refresh_embeddings(cache, texts, lambda batch: [[1.0] for _ in batch], "m")
     assert "MapInPandas" not in plan._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count() == 1
+
+
+def test_long_runs_of_blanks_take_no_longer(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from corpusgraph.functions.text import internal_slug, last_word, trim_blanks
+    from corpusgraph.operators.extract import sentences
+
+    run = "  \n\t" * 25_000
+    texts = [f"a{run}b{run}", run, f"{run}x", "y" * 100_000 + " z", "https://news.example/" + "/" * 100_000 + "s/"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    frame.count()
+    start = time.perf_counter()
+    got = frame.select(trim_blanks(F.col("text")).alias("t"), last_word(F.col("text")).alias("w"), internal_slug(F.col("text"), ["news.example"]).alias("s")).collect()
+    assert [r.t for r in got] == [f"a{run}b", "", "x", "y" * 100_000 + " z", texts[4]]
+    assert [r.w for r in got] == ["", "", "x", "z", texts[4]] and got[4].s == "s"
+    assert [r.sentence for r in sentences(frame.limit(3)).collect()] == [f"a{run}b", "", "x"]
+    assert time.perf_counter() - start < 10
