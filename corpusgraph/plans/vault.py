@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgraph.functions.scale import cut
+from corpusgraph.functions.scale import checkpoint_root, cut
 from corpusgraph.operators import graph as G
 from corpusgraph.operators import notes as N
 from corpusgraph.operators import tags as A
 from corpusgraph.operators import timefilter as TF
 from corpusgraph.plans import corpora as K
 from corpusgraph.plans.registry import query
+from corpusgraph.sources.notes import read_notes, write_notes
 
 table = K.table
 
@@ -407,3 +410,24 @@ def time_presets(spark: SparkSession, sf: str) -> DataFrame:
 def timelapse_frames(spark: SparkSession, sf: str) -> DataFrame:
     frames = TF.timelapse(table(spark, sf, "events"), "ts", days_per_frame=2)
     return frames.withColumn("frame_end", F.date_format("frame_end", "yyyy-MM-dd HH:mm:ss"))
+
+
+# ── notes as files ───────────────────────────────────────────────────────────
+
+
+@query(
+    "notes_scan",
+    """SELECT CASE doc_id % 10 WHEN 0 THEN '_drafts/' || source || '/doc ' || doc_id || '.md' WHEN 1 THEN source || '/_index ' || doc_id || '.md'
+          ELSE path END AS path, length(coalesce(body, '')) AS chars, md5(coalesce(body, '')) AS digest FROM d_docnotes JOIN documents USING (doc_id)
+        WHERE doc_id % 10 NOT IN (2, 3)""",
+)
+def notes_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as files, with drafts and index notes, hidden folders and other files between them, and read back."""
+    key = F.regexp_extract("path", r"doc ([0-9]+)\.md$", 1).cast("long")
+    notes = K.document_notes(spark, sf).select("path", F.coalesce("body", F.lit("")).alias("body"), (key % 10).alias("kind"))
+    hidden = F.concat(F.lit(".trash/"), "path")
+    placed = F.when(F.col("kind") == 0, F.concat(F.lit("_drafts/"), "path")).when(F.col("kind") == 1, F.regexp_replace("path", "/doc ", "/_index "))
+    placed = placed.when(F.col("kind") == 2, hidden).when(F.col("kind") == 3, F.regexp_replace("path", r"\.md$", ".txt")).otherwise(F.col("path"))
+    root = f"{checkpoint_root(spark)}/corpusgraph-{uuid.uuid4().hex}/notes"
+    write_notes(notes.select(placed.alias("path"), "body"), root)
+    return read_notes(spark, root).select("path", F.length("body").cast("long").alias("chars"), F.md5("body").alias("digest"))

@@ -9,7 +9,7 @@ from corpusgraph.operators import graph as G
 from corpusgraph.operators import notes as N
 from corpusgraph.operators import tags as A
 from corpusgraph.operators import timefilter as TF
-from corpusgraph.sources.notes import read_notes
+from corpusgraph.sources.notes import list_notes, read_notes, write_notes
 
 BODIES = {
     "drops/First Note.md": "---\ntitle: x\ntags: [alpha, 'be ta']\ndate: 2020-01-02\n---\nintro\n# Real *Title*\n\nSee [[Second]] and [[Folder/Third|third one]] [[A#H]] #hash/tag http://e.x/#frag\n",
@@ -76,6 +76,32 @@ def test_read_notes(spark, tmp_path, rows):
     assert rows(read_notes(spark, str(tmp_path)), "path", "body") == [("a b/x+y %41.md", "one"), ("q.md", "#t")]
 
 
+def test_read_notes_sees_underscores_and_links(spark, tmp_path, rows):
+    root, other = tmp_path / "notes", tmp_path / "other"
+    for path, text in {root / "_drafts/_index.md": "é", root / "a/b/c/d.md": "deep", root / "_x.md": "", other / "far.md": "linked", other / "sub/z.md": "z"}.items():
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    (root / "bad.md").write_bytes(b"ok \xff")
+    (root / "link").symlink_to(other)
+    (root / "file.md").symlink_to(other / "far.md")
+    (root / "gone.md").symlink_to(other / "nothing.md")
+    (other / "sub/loop").symlink_to(root)  # leads back to where it lies
+    want = [("_drafts/_index.md", "é"), ("_x.md", ""), ("a/b/c/d.md", "deep"), ("bad.md", "ok \ufffd"), ("file.md", "linked"), ("link/far.md", "linked"), ("link/sub/z.md", "z")]
+    for address in (str(root), f"file://{root}/", f"file:{root}"):
+        assert rows(read_notes(spark, address), "path", "body") == want
+    sizes = {r.path: (r["size"], r.modified_at is not None) for r in list_notes(spark, str(root)).collect()}
+    assert sizes["a/b/c/d.md"] == (4, True)
+    assert read_notes(spark, str(tmp_path / "nowhere")).count() == 0
+
+
+def test_write_notes_and_read_back(spark, tmp_path, rows):
+    notes = [(f"f{i % 3}/n {i}.md", "x" * i) for i in range(40)] + [("top.md", None)]
+    frame = spark.createDataFrame(notes, "path string, body string").repartition(3)
+    assert write_notes(frame, str(tmp_path)) == 41 and write_notes(frame, f"file://{tmp_path}") == 41
+    got = rows(read_notes(spark, str(tmp_path), task_bytes=100), "path", "body")
+    assert got == sorted(((p, b or "") for p, b in notes), key=repr)
+
+
 def _graph(spark, edges, extra=()):
     ids = sorted({x for e in edges for x in e} | set(extra))
     nodes = spark.createDataFrame([(i, i[0], i) for i in ids], "id string, folder string, label string")
