@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgraph.functions import text as T
-from corpusgraph.functions.scale import checkpoint_root
+from corpusgraph.functions.scale import checkpoint_root, cut
 from corpusgraph.operators import notes as N
 from corpusgraph.operators import richtext as RT
 from corpusgraph.operators import search as S
@@ -164,14 +164,66 @@ def cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "similar_notes",
-    f"""WITH q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label))
+    f"""WITH q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 100 = 0)
         SELECT query_id, id, round(score, 6) AS score, rank FROM (SELECT q.vec_id AS query_id, e.vec_id AS id, {_COSINE} AS score,
-          row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COSINE} DESC, e.vec_id) AS rank FROM embeddings e JOIN q ON q.vec_id <> e.vec_id) WHERE rank <= 5""",
+          row_number() OVER (PARTITION BY q.vec_id ORDER BY round({_COSINE}, 12) DESC, e.vec_id) AS rank FROM embeddings e JOIN q ON q.vec_id <> e.vec_id) WHERE rank <= 5""",
 )
 def similar_notes(spark: SparkSession, sf: str) -> DataFrame:
-    """Notes like the first note of each label."""
-    ids = table(spark, sf, "embeddings").groupBy("label").agg(F.min("vec_id").alias("id")).select("id")
-    return V.similar(_vectors(spark, sf), ids).withColumn("score", F.round("score", 6))
+    """Notes like each note whose id is divisible by 100, from all notes."""
+    vecs = _vectors(spark, sf)
+    return V.similar(vecs, vecs.filter("id % 100 = 0")).withColumn("score", F.round("score", 6))
+
+
+@query("similar_corpus")
+def similar_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """Notes like every note, by buckets of random hyperplanes."""
+    return V.similar_corpus(_vectors(spark, sf)).withColumn("score", F.round("score", 6))
+
+
+def _crc32_sql(word: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a column."""
+    code = f"CAST('0x' || substr(hex(encode({word})), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)"
+    rounds = "list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    codes = f"list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, octet_length(encode({word}))), lambda i: {code}))"
+    return f"xor(4294967295, list_reduce({codes}, lambda a, b: {rounds}))"
+
+
+_BLANK_SQL = r"[\x09-\x0D\x20\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+"
+
+
+def _hashed_sql(name: str, texts: str, dim: int = 384) -> str:
+    """Tables `name`_x(id, slot, x): the vectors of `texts(id, text)`, rounded to single precision, without zeros."""
+    return rf"""
+        {name}_w AS (SELECT id, w, count(*) AS n FROM (SELECT id, unnest(regexp_split_to_array(lower(text), '{_BLANK_SQL}')) AS w FROM ({texts})) WHERE w <> '' GROUP BY ALL),
+        {name}_c AS (SELECT w, {_crc32_sql('w')} AS c FROM (SELECT DISTINCT w FROM {name}_w)),
+        {name}_s AS (SELECT id, c % {dim} AS slot, sum(CASE WHEN c & 65536 > 0 THEN n ELSE -n END) AS x FROM {name}_w JOIN {name}_c USING (w) GROUP BY ALL),
+        {name}_x AS (SELECT id, slot, CAST(CAST(x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS FLOAT) AS DOUBLE) AS x FROM {name}_s WHERE x <> 0)"""
+
+
+_NOTE_TEXT = "SELECT doc_id AS id, 'doc ' || doc_id || ' doc ' || doc_id || chr(10) || coalesce(text, '') AS text FROM documents"
+_ASKED_TEXT = "SELECT doc_id AS id, 'doc ' || doc_id || ' ' || left(coalesce(text, ''), 200) AS text FROM documents WHERE doc_id % 100 = 0"
+
+
+@query(
+    "similar_to_text",
+    f"""WITH {_hashed_sql('v', _NOTE_TEXT)}, {_hashed_sql('q', _ASKED_TEXT)},
+        vn AS (SELECT id, sqrt(sum(x * x)) AS n FROM v_x GROUP BY id), qn AS (SELECT id, sqrt(sum(x * x)) AS n FROM q_x GROUP BY id),
+        dots AS (SELECT q.id AS query_id, v.id AS id, sum(q.x * v.x) AS dot FROM q_x q JOIN v_x v USING (slot) GROUP BY ALL),
+        every AS (SELECT q.id AS query_id, v.id AS id, round(coalesce(dot, 0) / q.n / v.n, 12) AS score FROM qn q JOIN vn v ON q.id <> v.id
+                  LEFT JOIN dots d ON d.query_id = q.id AND d.id = v.id)
+        SELECT query_id, id, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM every)
+        WHERE rank <= 5""",
+)
+def similar_to_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Notes like the title and opening of each document whose id is divisible by 100, from all documents."""
+    docs = table(spark, sf, "documents")
+    label = F.concat(F.lit("doc "), F.col("doc_id").cast("string"))
+    text = F.coalesce("text", F.lit(""))
+    notes = docs.select(F.col("doc_id").alias("id"), F.lit(0).alias("mtime"), label.alias("label"), text.alias("content"), text.alias("excerpt"))
+    model = V.hashed_embedder()
+    vecs = cut(V.embed(V.embedding_text(notes), model, "hashed"))
+    found = V.similar_to_text(vecs, notes.filter("id % 100 = 0"), model)
+    return found.withColumn("score", F.round("score", 6))
 
 
 def _embedding_notes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -201,13 +253,18 @@ def stale_entries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "refresh_embeddings",
-    """SELECT doc_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS mtime, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0) THEN 1 ELSE 384 END AS dim
-        FROM documents JOIN events ON event_id = doc_id""",
+    f"""WITH {_hashed_sql('v', "SELECT id, text FROM (" + _NOTE_TEXT + ") JOIN events ON event_id = id")},
+        sums AS (SELECT id, round(sum((slot + 1) * x), 3) AS weighed FROM v_x GROUP BY id),
+        old AS (SELECT doc_id AS id FROM labels WHERE quality = 1 AND toxic = 0)
+        SELECT doc_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS mtime, CASE WHEN doc_id IN (SELECT id FROM old) THEN 1 ELSE 384 END AS dim,
+          CASE WHEN doc_id IN (SELECT id FROM old) THEN 1.0 ELSE coalesce(weighed, 0.0) END AS weighed
+        FROM documents JOIN events ON event_id = doc_id LEFT JOIN sums ON id = doc_id""",
 )
 def refresh_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     cache, notes = _embedding_notes(spark, sf)
     done = V.refresh_embeddings(cache, notes, V.hashed_embedder(384), "hashed")
-    return done.select("id", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss").alias("mtime"), F.size("vec").alias("dim"))
+    weighed = F.aggregate(F.transform("vec", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, b: a + b)
+    return done.select("id", F.date_format("mtime", "yyyy-MM-dd HH:mm:ss").alias("mtime"), F.size("vec").alias("dim"), F.round(weighed, 3).alias("weighed"))
 
 
 @query(

@@ -12,7 +12,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 SAMPLE = [
     "safe_names", "internal_slugs", "case_membership", "hubs", "top_connected", "phrase_candidates", "hierarchy",
     "build_links", "siblings", "tiers", "component_sizes", "venn_assign", "bm25_fuzzy", "cosine_topk", "richtext_blocks", "stream_daily",
-    "entity_events", "event_index", "hybrid_search", "embedding_cache", "posts_fields", "venn_backfill", "orphans", "visible_links",
+    "entity_events", "event_index", "similar_notes", "similar_to_text", "refresh_embeddings", "hybrid_search", "embedding_cache", "posts_fields", "venn_backfill", "orphans", "visible_links",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="tables not present")
@@ -27,7 +27,8 @@ def engine():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    # Neighbours by buckets are near, not exact: their recall is measured in test_vectors.
+    assert set(QUERIES) - set(ORACLES) == {"similar_corpus"}
 
 
 @pytest.mark.parametrize("name", SAMPLE)
