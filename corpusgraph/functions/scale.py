@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusgraph.functions.text import BLANK_CHARS
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for cut lineage, as named by the cluster."""
@@ -157,37 +159,43 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, nam
     return numbered.filter(F.col(name) <= k).withColumn(name, F.col(name).cast("long"))
 
 
-_SEED_LENGTHS = (16, 8, 4, 2, 1)
+#: Lengths of the pieces of words by which patterns are found, the first that a word of the pattern has.
+_PIECES = (6, 3, 1)
 
 
-def contains_join(
-    left: DataFrame, text: str, patterns: DataFrame, pattern: str, on: Sequence[str] = ()
-) -> DataFrame:
-    """Join rows whose `text` contains `pattern`, as an equi-join on a seed.
+def _pieces(text: Column, n: int) -> Column:
+    """Distinct pieces of `n` letters of the words of a text."""
+    words = F.array_distinct(F.split(F.translate(text, BLANK_CHARS, " " * len(BLANK_CHARS)), " "))
+    long_enough = F.filter(words, lambda w: F.length(w) >= n)
+    return F.array_distinct(F.flatten(F.transform(
+        long_enough, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - (n - 1)), lambda i: F.substring(w, i, F.lit(n)))
+    )))
+
 
-    The seed is the end of the pattern, as long as one of a few lengths
-    allows; every substring of the text with that length is a candidate key.
-    Exact for any pattern, and never compares all rows with all patterns.
+def contains_join(left: DataFrame, text: str, patterns: DataFrame, pattern: str, on: Sequence[str] = ()) -> DataFrame:
+    """Join rows whose `text` contains `pattern`, and that agree in the columns `on`, as an equi-join on rare pieces.
+
+    A pattern is known by the one of its pieces (of its words, so none spans a blank) that the fewest texts hold. The
+    texts' pieces that occur in some pattern are written once, as numbers of rows, and both counted and joined; texts
+    come in only where a pattern's rarest piece was found. Exact for any pattern; an empty one is in no text.
     """
-    size = F.length(pattern)
-    length = F.coalesce(*[F.when(size >= n, F.lit(n)) for n in _SEED_LENGTHS])
-    seeds = (
-        patterns.filter(size > 0)
-        .withColumn("_n", length)
-        .withColumn("_seed", F.expr(f"substring(`{pattern}`, -_n, _n)"))
-    )
-    # Written once: with its true size known, Spark broadcasts it only if small.
-    seeds = cut(seeds)
-    # At most five distinct numbers come back.
-    lengths = sorted(r["_n"] for r in seeds.select("_n").distinct().collect())
-    keyed = None
-    for n in lengths:
-        starts = F.sequence(F.lit(1), F.length(text) - (n - 1))
-        part = left.filter(F.length(text) >= n).select("*", F.explode(starts).alias("_at"))
-        part = part.withColumn("_seed", F.substring(text, F.col("_at"), F.lit(n))).drop("_at")
-        keyed = part if keyed is None else keyed.unionByName(part)
-    if keyed is None:
-        keyed = left.withColumn("_seed", F.lit(None).cast("string"))
-    hits = keyed.join(seeds, [*on, "_seed"]).filter(F.contains(F.col(text), F.col(pattern)))
-    # A seed may occur twice in one text.
-    return hits.drop("_seed", "_n").distinct()
+    rows = cut(left.withColumn("_row", F.monotonically_increasing_id()))
+    wanted = cut(patterns.filter(F.length(pattern) > 0).withColumn("_no", F.monotonically_increasing_id()))
+    longest = F.array_max(F.transform(F.split(F.translate(pattern, BLANK_CHARS, " " * len(BLANK_CHARS)), " "), F.length))
+    size = F.coalesce(*[F.when(longest >= n, F.lit(n)) for n in _PIECES], F.lit(0))
+    # Of a pattern of blanks only, nothing is known: all rows are asked.
+    own = F.coalesce(*[F.when(size == n, _pieces(F.col(pattern), n)) for n in _PIECES], F.array(F.lit("")))
+    parts = cut(wanted.select("_no", size.alias("_n"), F.explode(own).alias("_piece")))
+    held = None
+    for n in sorted(r["_n"] for r in parts.select("_n").distinct().collect()):  # at most four numbers
+        every = rows.select("_row", F.explode(_pieces(F.col(text), n)).alias("_piece")) if n else rows.select("_row", F.lit("").alias("_piece"))
+        some = every.join(parts.filter(F.col("_n") == n).select("_piece").distinct(), "_piece", "left_semi")
+        held = some if held is None else held.unionByName(some)
+    held = cut(rows.select("_row", F.lit("").alias("_piece")).limit(0) if held is None else held)
+    counted = parts.join(held.groupBy("_piece").count(), "_piece", "left")
+    # A pattern of which a piece is in no text needs no asking.
+    rarest = counted.groupBy("_no").agg(F.min_by("_piece", F.struct(F.coalesce("count", F.lit(0)), "_piece")).alias("_piece"))
+    hits = held.join(rarest, "_piece").drop("_piece").join(wanted, "_no")
+    found = hits.join(rows, ["_row", *on]).filter(F.contains(F.col(text), F.col(pattern)))
+    others = [c for c in patterns.columns if c not in on]
+    return found.select(*left.columns, *others)

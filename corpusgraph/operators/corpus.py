@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusgraph.functions.scale import contains_join, once, paged, ranked, top_k
+from corpusgraph.functions.scale import contains_join, cut, once, paged, ranked, top_k
 from corpusgraph.functions.text import BLANKS, WS, date_only, fold, last_word, safe_name, span
 
 
@@ -108,13 +108,14 @@ def case_events(membership: DataFrame, events: DataFrame, articles: DataFrame, k
     when their sentence holds a keyword of the case.
     """
     published = articles.select("doc_id", "note", date_only(F.col("published_at")).alias("_day"))
-    dated = events.join(published, "doc_id").filter((F.col("_day") == "") | (F.col("iso") <= F.col("_day"))).drop("_day")
-    rows = once(dated, _text=fold(F.col("description"))).join(membership, "doc_id")
-    # Copies of a sentence are tested once per case.
-    weak = rows.filter("strength = 'entity'").select("case", "_text").distinct()
-    named = contains_join(weak, "_text", keywords, "keyword", ["case"]).select("case", "_text").distinct()
-    named = named.withColumn("_named", F.lit(True))
-    kept = rows.join(named, ["case", "_text"], "left").filter("strength = 'category' OR _named")
+    dated = cut(events.join(published, "doc_id").filter((F.col("_day") == "") | (F.col("iso") <= F.col("_day"))).drop("_day"))
+    # A sentence is tested once, whatever the number of its weak cases, and known by its place.
+    weak = membership.filter("strength = 'entity'").groupBy("doc_id").agg(F.collect_set("case").alias("_cases"))
+    tested = once(dated.join(weak, "doc_id"), _text=fold(F.col("description"))).select("doc_id", "ev_pos", "_cases", "_text")
+    named = contains_join(tested, "_text", keywords, "keyword").filter(F.array_contains("_cases", F.col("case")))
+    named = named.select("case", "doc_id", "ev_pos").distinct().withColumn("_named", F.lit(True))
+    rows = dated.join(membership, "doc_id")
+    kept = rows.join(named, ["case", "doc_id", "ev_pos"], "left").filter("strength = 'category' OR _named")
     return kept.select("case", "doc_id", "ev_pos", "iso", "display", "precision", "description", "note")
 
 
@@ -225,10 +226,12 @@ def entity_events(
 
     All of them, or the first `cap` of each entity.
     """
-    rows = events.join(doc_entity.select("doc_id", F.col("name").alias("entity")), "doc_id")
-    rows = rows.withColumn("_low", F.lower("description"))
-    named = rows.join(keywords, "entity").filter(F.contains(F.col("_low"), F.col("keyword")))
-    kept = dedupe_events(named.drop("keyword", "_low"), "entity", head)
+    # An entity has few keywords; they go to its documents before any text moves.
+    own = keywords.groupBy("entity").agg(F.collect_set("keyword").alias("_keywords"))
+    bridge = doc_entity.select("doc_id", F.col("name").alias("entity")).join(own, "entity")
+    rows = events.withColumn("_low", F.lower("description")).join(bridge, "doc_id")
+    named = rows.filter(F.exists("_keywords", lambda k: F.contains(F.col("_low"), k)))
+    kept = dedupe_events(named.drop("_keywords", "_low"), "entity", head)
     return kept if cap is None else top_k(kept, ["entity"], event_order(), cap).drop("rank")
 
 

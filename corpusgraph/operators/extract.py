@@ -208,6 +208,8 @@ def _first_date(rows: DataFrame, s: str, min_year: int, max_year: int | None) ->
         },
     )
     names = F.array(*[F.lit(m) for m in MONTHS])
+    # Only where several forms occur does the place decide; else no pattern runs again.
+    several = sum((F.col(name) != "").cast("int") for name in forms) > 1
 
     def candidate(name: str) -> Column:
         m, d, y = (F.col(f"{name}_date.{k}") for k in "mdy")
@@ -217,7 +219,7 @@ def _first_date(rows: DataFrame, s: str, min_year: int, max_year: int | None) ->
         return F.when(
             m.between(1, 12) & d.between(1, 31) & _in_years(y, min_year, max_year),
             F.struct(
-                F.regexp_instr(s, F.lit(forms[name])).alias("at"),
+                F.when(several, F.regexp_instr(s, F.lit(forms[name]))).otherwise(0).alias("at"),
                 F.lit(int(coarse)).alias("coarse"),
                 _iso(y, m, d).alias("iso"),
                 shown.alias("display"),
