@@ -32,15 +32,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, *folders: str) -> DataFrame:
     """Write `df` to the shared checkpoint folder and read it back.
 
     The table survives lost executors, ends the lineage, fixes every
-    nondeterministic value and gives the optimizer a true size.
+    nondeterministic value and gives the optimizer a true size. Rows lie in
+    one folder per value of the columns `folders`.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/corpusgraph-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -48,7 +49,7 @@ def discard(df: DataFrame) -> None:
     """Delete the files behind a table made by `cut` once nothing reads it."""
     spark = df.sparkSession
     marker = "/corpusgraph-"
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles() if marker in f}
+    folders = {head + marker + rest.split("/")[0] for head, _, rest in (f.rpartition(marker) for f in df.inputFiles() if marker in f)}
     for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,61 +74,116 @@ def query_tokens(query: str) -> list[str]:
 
 @dataclass(frozen=True)
 class TextIndex:
-    """postings(term, field, id, tf), lengths(id, field, length), stats(field, n_docs, avg_length), vocab(term)."""
+    """An inverted index; all its tables are sorted, so a search reads the parts and row groups that hold its words.
+
+    postings(part, term, field, id, tf, length) lie in one folder per part, sorted by term and id; a common term may
+    reach over several parts. terms(term, field, part, df) is sorted by term. pieces(piece, term) has every way to
+    delete a few of a term's first letters, sorted by piece. stats(field, n_docs, avg_length) has one row per field.
+    """
 
     postings: DataFrame
-    lengths: DataFrame
+    terms: DataFrame
+    pieces: DataFrame
     stats: DataFrame
-    vocab: DataFrame
+    #: The largest share of its letters that a query term may be wrong in.
+    fuzzy: float
+
+
+#: First letters of a term that its pieces are made of. Where two terms are within a distance, deleting that many
+#: letters at most from the first letters of each can make them equal, whatever follows.
+PIECE_LETTERS = 8
+
+
+def _reach(letters: int, fuzzy: float, most: int) -> int:
+    """Mistakes allowed in a query term of this length."""
+    return min(int(fuzzy * letters + 0.5), most)
+
+
+def _sorted(df: DataFrame, *order: str) -> DataFrame:
+    return cut(df.repartitionByRange(*order).sortWithinPartitions(*order))
 
 
-def build_index(docs: DataFrame, fields: tuple[str, ...] = ("title", "content")) -> TextIndex:
+def _pieces(terms: DataFrame, fuzzy: float, most: int) -> DataFrame:
+    """piece, term: the first letters of each term with as many deleted as any query term near it may be wrong in."""
+    n = F.length("term")
+    # A query term that reaches `r` mistakes far has at most `r` letters more than the term.
+    deepest = F.lit(0)
+    for r in range(1, most + 1):
+        shortest = next((k for k in range(1, 200) if _reach(k, fuzzy, most) >= r), None)
+        if shortest is not None:
+            deepest = F.when(n + r >= shortest, r).otherwise(deepest)
+    letters = F.split(F.substring("term", 1, PIECE_LETTERS), "")
+    rows = terms.select("term", letters.alias("_l"), F.least(deepest, F.least(n, F.lit(PIECE_LETTERS))).alias("_d"))
+    size = F.size("_l")
+    masks = F.filter(F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), size) - 1), lambda m: F.bit_count(m) >= size - F.col("_d"))
+
+    def kept(mask: Column) -> Column:
+        return F.array_join(F.filter("_l", lambda _, i: F.call_function("shiftright", mask, i).bitwiseAND(F.lit(1)) == 1), "")
+
+    return rows.select(F.explode(F.array_distinct(F.transform(masks, kept))).alias("piece"), "term")
+
+
+def build_index(docs: DataFrame, fields: tuple[str, ...] = ("title", "content"), fuzzy: float = 0.2, max_distance: int = 6) -> TextIndex:
     """Tables of an inverted index over `docs(id, <fields>)`, written once and read by every search.
 
     Term counts are summed inside each document before the shuffle; a field's
-    length is its number of distinct terms.
+    length is its number of distinct terms. Postings are dealt out by ranges of
+    (term, id), so a term that every document has is no task's alone.
     """
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     rows = docs.select("id", F.inline(pairs)).filter("text IS NOT NULL")
     tokens = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))
-    tokenised = once(rows, tokens=tokens)
-    lengths = tokenised.select("id", "field", F.size(F.array_distinct("tokens")).cast("long").alias("length"))
-    postings = (
-        tokenised.select("id", "field", F.explode("tokens").alias("term"))
+    tokenised = once(rows, tokens=tokens).select("id", "field", "tokens", F.size(F.array_distinct("tokens")).cast("long").alias("length"))
+    lengths = cut(tokenised.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_length")))
+    counted = (
+        tokenised.select("id", "field", "length", F.explode("tokens").alias("term"))
         .groupBy("term", "field", "id")
-        .agg(F.count("*").alias("tf"))
+        .agg(F.count("*").alias("tf"), F.max("length").alias("length"))
     )
-    postings, lengths = cut(postings), cut(lengths)
-    stats = lengths.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_length"))
-    return TextIndex(postings, lengths, stats, postings.select("term").distinct())
+    ranges = counted.repartitionByRange("term", "id").sortWithinPartitions("term", "field", "id").withColumn("part", F.spark_partition_id())
+    postings = cut(ranges, "part")
+    terms = _sorted(postings.groupBy("term", "field", "part").agg(F.count("*").alias("df")), "term")
+    pieces = _sorted(_pieces(terms.select("term").distinct(), fuzzy, max_distance), "piece")
+    return TextIndex(postings, terms, pieces, lengths, fuzzy)
+
+
+def _query_pieces(term: str, reach: int) -> list[str]:
+    head = term[:PIECE_LETTERS]
+    kept = (k for n in range(max(len(head) - reach, 0), len(head) + 1) for k in combinations(head, n))
+    return sorted({"".join(k) for k in kept})
 
 
 def expand_terms(
-    vocab: DataFrame, query: str, fuzzy: float = 0.2, prefix: bool = True,
+    index: TextIndex, query: str, fuzzy: float = 0.2, prefix: bool = True,
     prefix_weight: float = 0.375, fuzzy_weight: float = 0.45, max_distance: int = 6,
 ) -> DataFrame:
-    """source, term, weight: vocabulary terms a query term stands for.
+    """source, term, weight: indexed terms a query term stands for.
 
     An exact term weighs 1; longer and misspelt forms weigh less the further
-    they are. A term that is both counts as a prefix hit.
+    they are. A term that is both counts as a prefix hit. Misspelt forms are
+    looked up by their pieces, and only those found are measured.
     """
-    terms = list(dict.fromkeys(t for t in query_tokens(query) if t))
-    options = []
-    for term in terms:
+    if fuzzy > index.fuzzy:
+        raise ValueError(f"the index finds misspelt terms up to fuzzy={index.fuzzy}")
+    found = None
+    for term in dict.fromkeys(t for t in query_tokens(query) if t):
         n = float(len(term))
         extra = F.length("term") - len(term)
-        longer = F.lit(prefix) & F.col("term").startswith(term) & (extra > 0)
-        reach = min(int(fuzzy * len(term) + 0.5), max_distance)
+        reach = _reach(len(term), fuzzy, max_distance)
+        near = index.terms.filter(F.col("term").startswith(term) if prefix else F.col("term") == term).select("term")
+        if reach:
+            near = near.unionByName(index.pieces.filter(F.col("piece").isin(_query_pieces(term, reach))).select("term"))
         distance = F.levenshtein(F.col("term"), F.lit(term), reach) if reach else F.lit(-1)
         weight = (
             F.when(F.col("term") == term, 1.0)
-            .when(longer, prefix_weight * n / (n + 0.3 * extra))
+            .when(F.lit(prefix) & F.col("term").startswith(term), prefix_weight * n / (n + 0.3 * extra))
             .when(distance > 0, fuzzy_weight * n / (n + distance))
         )
-        options.append(F.struct(F.lit(term).alias("source"), weight.alias("weight")))
-    if not options:
-        return vocab.select(F.lit("").alias("source"), "term", F.lit(0.0).alias("weight")).limit(0)
-    return vocab.select("term", F.inline(F.array(*options))).filter("weight IS NOT NULL")
+        own = near.distinct().select(F.lit(term).alias("source"), "term", weight.alias("weight")).filter("weight IS NOT NULL")
+        found = own if found is None else found.unionByName(own)
+    if found is None:
+        return index.terms.select(F.lit("").alias("source"), "term", F.lit(0.0).alias("weight")).limit(0)
+    return found
 
 
 def bm25(
@@ -136,14 +192,16 @@ def bm25(
 ) -> DataFrame:
     """id, score: BM25+ over all fields, times the number of query terms found; the best `k`, or all.
 
-    Only postings of expanded terms are read; the expansion is tiny next to
-    the postings, so they are filtered where they lie and summed per document.
+    The terms asked for are written first, with the parts they lie in and their document frequencies, all from the
+    index: their true size is known then, and where it is small Spark reads the postings of these parts only.
     """
     boost = {"title": 2.0} if boost is None else boost
-    wanted = expand_terms(index.vocab, query, fuzzy, prefix)
-    hits = index.postings.join(wanted, "term")
-    freq = hits.select("term", "field", "id").distinct().groupBy("term", "field").agg(F.count("*").alias("df"))
-    rows = hits.join(freq, ["term", "field"]).join(index.stats, "field").join(index.lengths, ["id", "field"])
+    wanted = expand_terms(index, query, fuzzy, prefix)
+    held = index.terms.join(wanted.select("term").distinct(), "term")
+    freq = held.groupBy("term", "field").agg(F.sum("df").alias("df"))
+    asked = cut(held.drop("df").join(freq, ["term", "field"]).join(wanted, "term"))
+    # Weights are never 0; the filter tells Spark that this side is worth pruning parts by.
+    rows = index.postings.join(asked.filter("weight > 0"), ["part", "term", "field"]).join(index.stats, "field")
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("avg_length"))
     field_boost = F.coalesce(*[F.when(F.col("field") == f, F.lit(float(w))) for f, w in boost.items()], F.lit(1.0))

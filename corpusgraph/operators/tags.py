@@ -93,28 +93,27 @@ def venn_assign(nodes: DataFrame, top: DataFrame, pairs: DataFrame) -> DataFrame
 def venn_backfill(assigned: DataFrame, top: DataFrame, min_nodes: int = 3) -> DataFrame:
     """`assigned` with underfilled tags topped up from their overlaps.
 
-    Tags are served in order of size and a node moves once. At most
-    `min_nodes` nodes move per tag, so the first `min_nodes · tags` candidates
-    of each tag (by id) decide the result; only those few rows reach the driver.
+    Tags are served in order of size, each takes the smallest ids that are free, and a node moves once. At most
+    `min_nodes` nodes move per tag, so of each tag's candidates the first `min_nodes · tags` decide, whatever the
+    number of nodes: the order is kept by one fold over the tags, in one row of that bounded size.
     """
-    tags = [r["tag"] for r in top.orderBy(F.desc("n"), "tag").collect()]
-    filled = {r["box"]: r["n"] for r in assigned.groupBy("box").agg(F.count("*").alias("n")).join(
-        top.select(F.col("tag").alias("box")), "box", "left_semi").collect()}
-    halves = F.split("box", BRIDGE)
+    # A small number, that of the top tags.
+    most = min_nodes * max(top.count(), 1)
+    filled = assigned.groupBy(F.col("box").alias("tag")).agg(F.count("*").alias("filled"))
+    need = F.greatest(F.lit(min_nodes) - F.coalesce("filled", F.lit(0)), F.lit(0)).cast("int")
     overlap = assigned.filter(F.contains("box", F.lit(BRIDGE)) & (F.col("matched") >= 2))
-    candidates = top_k(
-        overlap.select(F.explode(halves).alias("tag"), "id"), ["tag"], [F.col("id")], min_nodes * max(len(tags), 1), "_rn"
-    ).orderBy("tag", "id")
-    by_tag: dict[str, list] = {}
-    for row in candidates.collect():
-        by_tag.setdefault(row["tag"], []).append(row["id"])
-    moves: dict = {}
-    for tag in tags:
-        free = [i for i in by_tag.get(tag, []) if i not in moves]
-        for node in free[: max(min_nodes - filled.get(tag, 0), 0)]:
-            moves[node] = tag
+    halves = overlap.select(F.explode(F.split("box", BRIDGE)).alias("tag"), "id").join(top.select("tag"), "tag", "left_semi")
+    first = top_k(halves, ["tag"], [F.col("id")], most, "_rn").groupBy("tag").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    served = top.join(filled, "tag", "left").join(first, "tag")
+    turn = F.struct((-F.col("n")).alias("order"), "tag", need.alias("need"), "ids")
     id_type = assigned.schema["id"].dataType.simpleString()
-    moved = assigned.sparkSession.createDataFrame(list(moves.items()), f"id {id_type}, _box string")
+    none = F.array().cast(f"array<struct<id:{id_type},_box:string>>")
+
+    def serve(moves: Column, t: Column) -> Column:
+        free = F.filter(t["ids"], lambda i: ~F.exists(moves, lambda m: m["id"] == i))
+        return F.concat(moves, F.transform(F.slice(free, F.lit(1), t["need"]), lambda i: F.struct(i.alias("id"), t["tag"].alias("_box"))))
+
+    moved = served.agg(F.array_sort(F.collect_list(turn)).alias("turns")).select(F.inline(F.aggregate("turns", none, serve)))
     return assigned.join(moved, "id", "left").select(
         "id",
         F.coalesce("_box", "box").alias("box"),

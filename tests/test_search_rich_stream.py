@@ -3,6 +3,7 @@
 import json
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusgraph.functions.scale import discard
@@ -37,7 +38,7 @@ def test_full_text(spark):
         "id string, title string, content string",
     )
     index = S.build_index(docs)
-    forms = {(r.term): round(r.weight, 4) for r in S.expand_terms(index.vocab, "Flood!").collect()}
+    forms = {(r.term): round(r.weight, 4) for r in S.expand_terms(index, "Flood!").collect()}
     assert forms == {"flood": 1.0, "flooded": round(0.375 * 5 / 5.6, 4), "flod": round(0.45 * 5 / 6, 4), "floor": round(0.45 * 5 / 6, 4)}
     hits = [r.id for r in S.bm25(index, "flood").collect()]
     assert hits == ["1", "2"]
@@ -49,6 +50,47 @@ def test_full_text(spark):
     assert got[1:] == ["short <mark>flood</mark>", "none"]
 
 
+def test_index_finds_every_misspelt_term(spark):
+    rng = np.random.default_rng(5)
+    letters = "abcé"
+    words = {"".join(letters[i] for i in rng.integers(0, 4, n)) for n in rng.integers(1, 14, 700)}
+    index = S.build_index(spark.createDataFrame([("1", " ".join(sorted(words)))], "id string, content string"), ("content",))
+
+    def apart(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, old = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+        return row[-1]
+
+    for word in [*sorted(words)[::60], "zabc", "abcabcabcabcabc"]:
+        reach = int(0.2 * len(word) + 0.5)
+        want = {w for w in words if w == word or apart(word, w) <= reach}
+        assert {r.term for r in S.expand_terms(index, word, prefix=False).collect()} == want
+    with pytest.raises(ValueError):
+        S.expand_terms(index, "abc", fuzzy=0.5)
+
+
+def test_search_reads_only_the_parts_that_hold_its_terms(spark):
+    docs = spark.range(3000).selectExpr("CAST(id AS string) AS id", "concat('w', id % 1000, ' common v', id) AS content")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = S.build_index(docs, ("content",))
+        assert index.postings.select("part").distinct().count() > 1
+        hits = S.bm25(index, "w77", fuzzy=0, prefix=False)
+        assert sorted(r.id for r in hits.collect()) == ["1077", "2077", "77"]
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert "dynamicpruningexpression(part" in plan
+        looked = S.expand_terms(index, "w77")._jdf.queryExecution().executedPlan().toString()
+        assert "StringStartsWith(term,w77)" in looked and "In(piece" in looked
+        # A term of every document lies in several parts and is still counted once.
+        assert index.terms.filter("term = 'common'").count() > 1
+        assert S.bm25(index, "common", None, fuzzy=0, prefix=False).count() == 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_cosine_against_numpy(spark):
     rng = np.random.default_rng(3)
     m = rng.normal(size=(60, 8)).round(1)
