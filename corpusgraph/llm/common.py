@@ -7,6 +7,7 @@ beyond the batch itself does not depend on the length of a text.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
@@ -31,6 +32,12 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps that are done: Spark deletes them once the driver's heap has been collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def record(**kinds: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
 
@@ -104,7 +111,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of an odd number, as 64-bit words."""
     out = np.empty(n, U64)
     out[0] = 1
     done = 1
@@ -116,9 +124,9 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 _BASE = 0x9E3779B97F4A7C15
-_WEIGHT = _powers(_BASE, _HIGH)
-_FAR = _powers(pow(_BASE, _HIGH, 1 << 64), _HIGH)
-_GRAM = _powers(0xD6E8FEB86659FD93, 64)
+_WEIGHT = powers(_BASE, _HIGH)
+_FAR = powers(pow(_BASE, _HIGH, 1 << 64), _HIGH)
+_GRAM = powers(0xD6E8FEB86659FD93, 64)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusgraph.llm.common import ALNUM, LONG, LOWER, STRING, annotate, buffers, grams, record, sequence_hash, words
+from corpusgraph.llm.common import ALNUM, LONG, LOWER, STRING, annotate, buffers, grams, quoted, record, sequence_hash, words
 
 RESULT = record(n_words=LONG, n_hit=LONG, items=T.ArrayType(STRING), clean=STRING)
 
@@ -141,24 +141,22 @@ def decontaminate(
 
 def _many(docs, blocks, text, n, spans, into, keep) -> DataFrame:
     keep = [c for c in (docs.columns if keep is None else keep) if c != into]
-    out = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_whole_"))
-    parts = []
-    for k, block in enumerate(blocks):
+    # The documents' columns travel inside one, so no name of theirs can clash with those below.
+    out = docs.select(F.struct(*quoted(keep)).alias("kept"), F.col(f"`{text}`").cast("string").alias("whole"))
+    parts = [f"part{k}" for k in range(len(blocks))]
+    for part, block in zip(parts, blocks, strict=True):
         index = _Index([tuple(r) for r in block.collect()], n)
         shared = docs.sparkSession.sparkContext.broadcast(index)
-        out = annotate(out, "_whole_", lambda shared=shared: _placer(shared.value), PLACES, f"_part{k}_")
-        parts.append(f"_part{k}_")
+        out = annotate(out, "whole", lambda shared=shared: _placer(shared.value), PLACES, part)
     hits = F.array_sort(F.array_distinct(F.concat(*[F.col(f"{p}.hits") for p in parts])))
     names = F.array_sort(F.array_distinct(F.concat(*[F.col(f"{p}.items") for p in parts])))
-    out = out.withColumn("_hits_", hits).withColumn("_items_", names).withColumn("_n_", F.col(f"{parts[0]}.n_words"))
-    clean = F.col("_clean_") if spans else F.lit(None).cast("string")
+    out = out.select("kept", "whole", hits.alias("hits"), names.alias("names"), F.col(f"{parts[0]}.n_words").alias("n"))
+    clean = F.col("clean") if spans else F.lit(None).cast("string")
     if spans:
-        out = out.withColumn("_both_", F.to_json(F.struct(F.col("_whole_").alias("t"), F.col("_hits_").alias("h"))))
-        out = annotate(out, "_both_", lambda: _cutter, T.StringType(), "_clean_")
-    result = F.struct(
-        F.col("_n_").alias("n_words"), F.size("_hits_").cast("long").alias("n_hit"), F.col("_items_").alias("items"), clean.alias("clean")
-    )
-    return out.select(*[F.col(f"`{c}`") for c in keep], result.alias(into))
+        out = out.withColumn("both", F.to_json(F.struct(F.col("whole").alias("t"), F.col("hits").alias("h"))))
+        out = annotate(out, "both", lambda: _cutter, T.StringType(), "clean")
+    result = F.struct(F.col("n").alias("n_words"), F.size("hits").cast("long").alias("n_hit"), F.col("names").alias("items"), clean.alias("clean"))
+    return out.select("kept.*", result.alias(into))
 
 
 PLACES = record(n_words=LONG, hits=T.ArrayType(LONG), items=T.ArrayType(STRING))

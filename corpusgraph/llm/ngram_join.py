@@ -28,16 +28,19 @@ documents, no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusgraph.functions.scale import cut, discard
-from corpusgraph.llm.common import BINARY, LONG, LOWER, NOT_BLANK, U64, Words, annotate, bounded_batches, buffers, grams, mix, quoted, record, sequence_hash, slices, words
+from corpusgraph.functions.scale import checkpoint_root, cut, discard
+from corpusgraph.llm.common import (
+    BINARY, LONG, LOWER, NOT_BLANK, U64, Words, annotate, bounded_batches, buffers, grams, mix, quoted, record, release, sequence_hash, slices, words,
+)
 from corpusgraph.operators.graph import component_labels
 
 #: Counters of the sketch, and rows they are sent in.
@@ -271,25 +274,69 @@ def digests(docs: DataFrame, n: int = 5) -> DataFrame:
     return found.select(*quoted(docs.columns), f"{into}.one", f"{into}.two")
 
 
-def _unnamed(classes: DataFrame, docs: DataFrame, n: int) -> DataFrame | None:
-    """one, text of the classes of which no row has an id; None if there are none."""
-    own = classes.filter("doc_id IS NULL").select("one")
-    if not own.head(1):
-        return None
-    return cut(digests(docs.filter("doc_id IS NULL").select("text"), n).join(own, "one", "left_semi").select("one", "text").dropDuplicates(["one"]))
+def _texts(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: int, name: str) -> DataFrame:
+    """at, text of every class in `listed(one)`, written in buckets by `at` so that no comparison shuffles it again.
 
-
-def _compare(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, unnamed: DataFrame | None) -> DataFrame:
-    """a, b, common, total (size of the union) of class pairs, from the texts of one document of each class."""
-    own = classes.select("one", "doc_id")
-    need = pairs.select(F.col("a").alias("one")).union(pairs.select(F.col("b").alias("one"))).distinct()
-    body = docs.select("doc_id", "text").join(own.join(need, "one", "left_semi"), "doc_id").select("one", "text")
-    if unnamed is not None:
-        body = body.union(unnamed.join(need, "one", "left_semi").select("one", "text"))
-    body = cut(body)
-    left = body.select(F.col("one").alias("a"), F.col("text").alias("text_a"))
-    right = body.select(F.col("one").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+    A class is found by its smallest id, and one without any id by its digest. An id may stand for other texts too, which
+    `_compare` tells by their digests. The folder is one of `scale.cut`'s; the table `name` is known to this session only.
+    """
+    spark = docs.sparkSession
+    own = classes.select("one", "doc_id").join(listed, "one", "left_semi")
+    named = own.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("at")).distinct()
+    body = docs.select(F.col("doc_id").alias("at"), "text").join(named, "at", "left_semi")
+    unnamed = own.filter("doc_id IS NULL").select(F.col("one").alias("at"))
+    if unnamed.head(1):
+        found = digests(docs.filter("doc_id IS NULL").select("text"), n).select(F.col("one").alias("at"), "text")
+        body = body.unionByName(found.join(unnamed, "at", "left_semi").dropDuplicates(["at"]))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{checkpoint_root(spark)}/corpusgraph-{uuid.uuid4().hex}"
+    # The join has dealt the rows out by `at` already.
+    body.write.bucketBy(parts, "at").sortBy("at").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """a, b, at_a, at_b (where their texts are) of the pairs (a, b) whose sizes and bitmaps leave a similarity of `percent` open."""
+    ends = []
+    for end in ("a", "b"):
+        cells = [F.col("bits")[i].alias(f"{end}_bits{i}") for i in range(BITMAP)]
+        ends.append(classes.select(F.col("one").alias(end), F.col("n").alias(f"{end}_n"), _at().alias(f"at_{end}"), *cells))
+    rows = pairs.join(ends[0], "a").join(ends[1], "b")
+    differ = sum((F.bit_count(F.col(f"a_bits{i}").bitwiseXOR(F.col(f"b_bits{i}"))) for i in range(1, BITMAP)), F.bit_count(F.col("a_bits0").bitwiseXOR(F.col("b_bits0"))))
+    both = F.col("a_n") + F.col("b_n")
+    need = F.ceil(both * percent / (100 + percent))
+    sized = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    # A digest may stand for two sets by chance; such a pair is met once.
+    return rows.filter(sized & (differ <= both - 2 * need)).select("a", "b", "at_a", "at_b").distinct()
+
+
+def _at() -> Column:
+    return F.coalesce("doc_id", "one")
+
+
+def _placed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) with at_a and at_b."""
+    for end in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("one").alias(end), _at().alias(f"at_{end}")), end)
+    return pairs.select("a", "b", "at_a", "at_b").distinct()
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one component."""
+    own = pairs
+    for end in ("a", "b"):
+        own = own.join(labels.select(F.col("id").alias(end), F.col("component").alias(f"in_{end}")), end, "left")
+    return own.filter(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select(*pairs.columns)
+
+
+def _compare(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """a, b, common, total (size of the union) of class pairs, from the texts of one document of each class.
+
+    The texts lie in buckets: only that of b travels, once per pair, to the bucket of a.
+    """
+    left = texts.select(F.col("at").alias("at_a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("at").alias("at_b"), F.col("text").alias("text_b"))
+    both = pairs.join(right, "at_b").join(left, "at_a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int | None, np.ndarray] = (None, np.zeros(0, U64))
@@ -324,11 +371,15 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
         ends = ends.join(own, end, "left").withColumn(end, F.coalesce("part", end)).drop("part")
     ends = cut(ends.filter("source <> target").distinct())
     if not ends.head(1):
+        discard(ends)
         return labels
     joined = cut(component_labels(ends))
     final = joined.select(F.col("id").alias("component"), F.col("component").alias("final"))
     moved = labels.join(final, "component", "left").select("id", F.coalesce("final", "component").alias("component"))
-    return cut(moved.unionByName(joined.join(labels, "id", "left_anti")))
+    out = cut(moved.unionByName(joined.join(labels, "id", "left_anti")))
+    discard(ends)
+    discard(joined)
+    return out
 
 
 def _parts(held: DataFrame, labels: DataFrame) -> DataFrame:
@@ -337,7 +388,9 @@ def _parts(held: DataFrame, labels: DataFrame) -> DataFrame:
     rows = cut(rows.select(*held.columns, F.coalesce("component", "key").alias("part")))
     sizes = rows.groupBy("gram", "part").agg(F.count("*").alias("n"))
     tops = sizes.groupBy("gram").agg(F.max_by("part", F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
-    return cut(rows.join(tops.filter("parts > 1").drop("parts"), "gram"))
+    out = cut(rows.join(tops.filter("parts > 1").drop("parts"), "gram"))
+    discard(rows)
+    return out
 
 
 def _tries(parts: DataFrame, turn: int) -> DataFrame:
@@ -355,7 +408,7 @@ def _tries(parts: DataFrame, turn: int) -> DataFrame:
     return pairs.filter("a <> b").distinct()
 
 
-def _open_pairs(parts: DataFrame, known: DataFrame, scanned: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(parts: DataFrame, known: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of different components that sizes, places, bitmaps and the leader's distances leave open.
 
     A pair shares many lists, and every bound holds in each of them, so one list decides: the smallest that both
@@ -364,7 +417,7 @@ def _open_pairs(parts: DataFrame, known: DataFrame, scanned: DataFrame, percent:
     far = known.select(F.col("a").alias("leader"), F.col("b").alias("key"), (1 - F.col("common") / F.col("total")).alias("away"))
     rows = parts.join(far.groupBy("leader", "key").agg(F.min("away").alias("away")), ["leader", "key"], "left")
     rows = rows.withColumn("away", F.when(F.col("leader") == F.col("key"), 0.0).otherwise(F.col("away")))
-    cells = scanned.filter("n > 0").select(F.col("one").alias("key"), "bits")
+    cells = classes.select(F.col("one").alias("key"), "bits")
     cells = cells.join(parts.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     # A class has at most as many lists as its own prefix has n-grams.
     own = parts.groupBy("key").agg(F.slice(F.array_sort(F.collect_set("gram")), 1, FIRST_LISTS).alias("lists"))
@@ -403,39 +456,67 @@ def jaccard_components(
     scanned = cut(_scan(docs, n))
     level = _sketch(scanned)
     rows = scanned.filter("chunk IS NULL").select("doc_id", "n", "one", "two")
-    classes = cut(rows.filter("n > 0").groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
-    unnamed = _unnamed(classes, docs, n)
+    sized = scanned.filter("chunk IS NULL AND n > 0").groupBy("one", "two")
+    classes = cut(sized.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
     total = classes.agg(F.sum("n")).first()[0] or 0
     n_buckets = 1 + int(total * (100 - percent) / 100) // BUCKET_ENTRIES
 
     lists = cut(_lists(_prefixes(docs, n, percent, level, n_buckets), percent))
+    release(docs.sparkSession)
+    name = f"corpusgraph_{uuid.uuid4().hex}"
+    texts = _texts(lists.select(F.col("key").alias("one")).distinct(), classes, docs, n, name)
     stars = lists.filter("leader <> key").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-    known = _compare(stars, classes, docs, n, unnamed)
+    stars = cut(_bounded(stars, classes, percent))
+    release(docs.sparkSession)
     linked = F.col("common") * 100 >= F.col("total") * percent
-    links = known.filter(linked)
+    # One leader of each member first; the others only where that did not bring the two together.
+    first = stars.groupBy("b").agg(F.min_by(F.struct("a", "at_a"), "a").alias("x"), F.first("at_b").alias("at_b")).select("x.a", "b", "x.at_a", "at_b")
+    met = _compare(first, texts, n)
+    labels = _merged(None, met.filter(linked))
+    others = _compare(_apart(stars, labels).join(met, ["a", "b"], "left_anti"), texts, n)
+    known = cut(met.unionByName(others))
+    merged = _merged(labels, others.filter(linked))
+    for used in (stars, met, others, *([] if merged is labels else [labels])):
+        discard(used)
+    labels = merged
+    release(docs.sparkSession)
 
     # Members not connected with most of their list try leaders drawn anew, so that groups of near copies
     # whose distances straddle the threshold close up before any pair of members is formed.
     held = cut(lists.filter("members > 2").drop("members"))
-    labels = _merged(None, links)
+    discard(lists)
     parts = _parts(held, labels)
     for turn in range(rounds):
-        asked = _tries(parts, turn).join(known.select("a", "b").union(known.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
-        asked = cut(asked)
+        met = known.select("a", "b").union(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        asked = cut(_bounded(_tries(parts, turn).join(met, ["a", "b"], "left_anti"), classes, percent))
         if not asked.head(1):
+            discard(asked)
             break
-        tried = _compare(asked, classes, docs, n, unnamed)
-        known = cut(known.unionByName(tried))
-        before, labels = labels, _merged(labels, tried.filter(linked))
-        if labels is not before:
+        tried = _compare(asked, texts, n)
+        both = cut(known.unionByName(tried))
+        merged = _merged(labels, tried.filter(linked))
+        for used in (asked, tried, known):
+            discard(used)
+        known = both
+        if merged is not labels:
+            discard(parts)
+            discard(labels)
+            labels = merged
             parts = _parts(held, labels)
-    rest = cut(_open_pairs(parts, known, scanned, percent))
-    final = _merged(labels, _compare(rest, classes, docs, n, unnamed).filter(linked)) if rest.head(1) else labels
+    rest = cut(_open_pairs(parts, known, classes, percent))
+    final = labels
+    if rest.head(1):
+        last = _compare(_placed(rest, classes), texts, n)
+        final = _merged(labels, last.filter(linked))
+        discard(last)
+    for used in (held, parts, rest, known, texts):
+        discard(used)
+    docs.sparkSession.sql(f"DROP TABLE {name}")
     named = classes.join(final.withColumnRenamed("id", "one"), "one", "left").withColumn("part", F.coalesce("component", "one"))
     smallest = named.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     by_class = named.join(smallest, "part").select("one", "two", "component_id")
     out = rows.join(by_class, ["one", "two"], "left")
     out = cut(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), *(["one", "two"] if digested else [])))
-    for used in (scanned, classes, lists, known, held, parts, rest, final, *([] if unnamed is None else [unnamed])):
+    for used in (scanned, classes, final, labels):
         discard(used)
     return out

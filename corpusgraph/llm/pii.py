@@ -2,8 +2,10 @@
 
 Patterns propose spans, validators confirm them (Luhn for cards, mod 97 for
 IBANs, ranges for addresses and numbers), and words nearby raise or lower the
-score. The four base kinds are decided by pattern and validator alone; the
-further kinds need a score of `threshold` and never overlap a base span.
+score. The four base kinds are listed by pattern and validator alone, whatever
+their score; the further kinds need a score of `threshold` and never overlap a
+base span. Only spans that reach `threshold` are masked, so a version number in
+the form of an address is listed and stays in the text.
 
 Offsets are code points, end exclusive. Defined results: null and empty texts
 have no spans; documents are judged one by one, so repeated rows repeat.
@@ -12,7 +14,10 @@ have no spans; documents are judged one by one, so repeated rows repeat.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,15 +39,31 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+# Letters and digits of an IBAN by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22,
+    "DK": 18, "DO": 28, "EE": 20, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22,
+    "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VG": 24, "XK": 20,
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _KEY = re.compile(r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])")
-_ASSIGNED = re.compile(r"\b(?:password|passwd|secret|token|api_key|apikey)\b[\x20\"']{0,3}[=:][\x20\"']{0,3}([^\s\"']{8,})", re.I)
+# An underscore or hyphen may stand before the key's last word, as in client_secret.
+_ASSIGNED = re.compile(r"(?<![A-Za-z0-9])(?:password|passwd|secret|token|(?:api|private|access|secret)[_-]?key)\b[\x20\"']{0,3}[=:][\x20\"']{0,3}([^\s\"']{8,})", re.I)
+_CAMEL = re.compile("[a-z][A-Z]")
 #: The case-folded text of every match holds one of these; folding takes the long s and the Kelvin sign to s and k, as re.I does.
 _ASSIGN_WORDS = ("pass", "secret", "token", "key")
 
+#: What pattern and validator of a base kind are worth by themselves.
+WORTH = {"email": 1.0, "ip": 0.7, "card": 0.9, "phone": 0.9}
 #: Words that raise a kind's score when they stand within 40 characters before it.
 CONTEXT = {
+    "email": (),
+    "ip": ("ip", "address", "server", "host", "client"),
+    "card": ("card", "visa", "payment", "credit"),
+    "phone": ("phone", "call", "tel", "mobile", "fax"),
     "iban": ("iban", "account", "konto", "compte", "cuenta", "bank"),
     "ssn": ("ssn", "social", "security", "tax"),
     "secret": ("key", "aws", "secret", "password", "token", "access"),
@@ -98,11 +119,26 @@ def _base(text: str) -> Iterator[tuple[str, int, int]]:
                 yield "phone", *m.span()
 
 
+@cache
+def _rest(n: int) -> re.Pattern:
+    return re.compile(rf"(?:\x20?[A-Z0-9]){{{n}}}(?![A-Za-z0-9])")
+
+
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Bank numbers of their country's length; of a country not known here, any length that ends a word."""
+    for m in _IBAN.finditer(text):
+        own = IBAN_LENGTHS.get(m[0][:2])
+        for n in (own - 4,) if own else range(30, 10, -1):
+            tail = _rest(n).match(text, m.end())
+            if tail and mod97(text[m.start() : tail.end()].replace(" ", "")):
+                yield m.start(), tail.end()
+                break
+
+
 def _more(text: str) -> Iterator[tuple[str, int, int, float]]:
     """Kind, start, end, and the score that pattern and checksum give by themselves."""
-    for m in _IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield "iban", *m.span(), 0.8
+    for start, end in ibans(text):
+        yield "iban", start, end, 0.8
     for m in _SSN.finditer(text):
         area, group, serial = m[0].split("-")
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
@@ -113,20 +149,29 @@ def _more(text: str) -> Iterator[tuple[str, int, int, float]]:
     folded = text.casefold() if "=" in text or ":" in text else ""
     if any(w in folded for w in _ASSIGN_WORDS):
         for m in _ASSIGNED.finditer(text):
-            if any(map(str.isdigit, m[1])):
+            # A digit, or capitals inside, part a secret from a word.
+            if any(map(str.isdigit, m[1])) or _CAMEL.search(m[1]):
                 yield "secret", *m.span(1), 0.6
 
 
 def find(text: str, threshold: float = 0.5) -> list[tuple[str, int, int, bool, float]]:
     """Spans of one text in order of start, then kind."""
-    out = [(kind, start, end, True, 1.0) for kind, start, end in _base(text)]
-    taken = sorted((start, end) for _, start, end, _, _ in out)
-    for kind, start, end, score in _more(text):
+    def weighed(kind: str, start: int, score: float) -> float:
         before = text[max(0, start - NEARBY) : start].lower()
-        score += 0.2 * any(w in before for w in CONTEXT[kind]) - 0.3 * any(w in before for w in AGAINST)
-        if score >= threshold and not any(s < end and start < e for s, e in taken):
+        return score + 0.2 * any(w in before for w in CONTEXT[kind]) - 0.3 * any(w in before for w in AGAINST)
+
+    out = [(kind, start, end, True, round(min(weighed(kind, start, WORTH[kind]), 1.0), 2)) for kind, start, end in _base(text)]
+    base = sorted((start, end) for _, start, end, _, _ in out)
+    furthest = list(accumulate((end for _, end in base), max))
+    more: list[tuple[int, int]] = []  # never overlap one another
+    for kind, start, end, score in _more(text):
+        score = weighed(kind, start, score)
+        at = bisect_left(base, (end,))
+        place = bisect_left(more, (end,))
+        taken = (at and furthest[at - 1] > start) or (place and more[place - 1][1] > start)
+        if score >= threshold and not taken:
             out.append((kind, start, end, False, round(min(score, 1.0), 2)))
-            taken.append((start, end))
+            more.insert(place, (start, end))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
@@ -147,7 +192,7 @@ def _worker(threshold: float, masked: bool) -> Callable[[pa.Array], pa.Array]:
         plain = texts.to_pylist()
         spans = [find(t, threshold) if t else [] for t in plain]
         rows = [[dict(zip(("kind", "start", "end", "base", "score"), s, strict=True)) for s in own] for own in spans]
-        clean = [mask(t, s) if s else t for t, s in zip(plain, spans, strict=True)] if masked else [None] * len(plain)
+        clean = [mask(t, [x for x in s if x[4] >= threshold]) if s else t for t, s in zip(plain, spans, strict=True)] if masked else [None] * len(plain)
         return pa.StructArray.from_arrays([pa.array(rows, kind), pa.array(clean, pa.string())], names=["spans", "masked"])
 
     return work
@@ -156,7 +201,7 @@ def _worker(threshold: float, masked: bool) -> Callable[[pa.Array], pa.Array]:
 def find_personal_data(
     docs: DataFrame, *, text: str = "text", threshold: float = 0.5, masked: bool = False, into: str = "pii", keep: list[str] | None = None
 ) -> DataFrame:
-    """Documents with a struct `into`: spans (kind, start, end, base, score), and with `masked` the text without them."""
+    """Documents with a struct `into`: spans (kind, start, end, base, score), and with `masked` the text without those that reach `threshold`."""
     return annotate(docs, text, lambda: _worker(threshold, masked), RESULT, into, keep)
 
 

@@ -33,6 +33,7 @@ are ordered by a hash of the text; a null id comes first; texts shorter than
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusgraph.functions.scale import cut
-from corpusgraph.llm.common import BINARY, LONG, U64, bounded_batches, buffers, mix, record, slices
+from corpusgraph.llm.common import BINARY, LONG, U64, bounded_batches, buffers, mix, powers, record, slices
 
 KGRAM = 32
 _PLACE = U64((1 << 28) - 1)
@@ -55,6 +56,19 @@ BLOCK_BYTES = 1 << 20
 
 _ODD = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407, 0x9FB21C651E98DF25)]
 
+_BASE = 0x9FB21C651E98DF25
+_BACK = pow(_BASE, -1, 1 << 64)
+
+
+@cache
+def _table(base: int, log: int) -> np.ndarray:
+    return powers(base, 1 << log)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return _table(base, max(n - 1, 1).bit_length())[:n]
+
+
 _PACKED = record(bucket=LONG, flags=BINARY, anchor=BINARY, segment=BINARY, doc=BINARY, tie=BINARY, lo=BINARY, hi=BINARY)
 #: kind 0: remove [lo, hi); kind 1: compare windows lo..hi of an anchor; kind 2: the same for a hot anchor.
 _FOUND = record(kind=LONG, anchor=LONG, doc=LONG, tie=LONG, lo=LONG, hi=LONG)
@@ -98,7 +112,9 @@ def segments(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
     lo, hi = np.flatnonzero(begin), np.flatnonzero(close)
     end = hi + length
     mark = wide[lo] * _ODD[0] + wide[lo + length - 64] * _ODD[1] + wide[end - length] * _ODD[2] + wide[end - 64] * _ODD[3]
-    mark = mix(mark + (hi - lo).astype(U64))
+    # A polynomial over all bytes, so that no part of a longer segment goes unseen.
+    sums = np.concatenate((np.zeros(1, U64), np.cumsum((data.astype(U64) + U64(1)) * _powers(_BASE, n), dtype=U64)))
+    mark = mix(mark + (sums[end] - sums[lo]) * _powers(_BACK, n)[lo] + (hi - lo).astype(U64))
     return gram[chosen[lo]], mark, np.searchsorted(at, lo, side="right") - 1, lo, hi
 
 

@@ -35,6 +35,8 @@ RECORD = record(page_id=LONG, url=STRING, record_type=STRING, digest=STRING, ref
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES = 256 << 20
 READ_BYTES = 8 << 20
+#: Bytes of archives that one task reads, about.
+TASK_BYTES = 64 << 20
 GAP_BYTES = 64 << 10
 _END = b"\r\n\r\n"
 
@@ -140,7 +142,12 @@ def _arrow(kind) -> pa.Schema:
 def read_records(selected: DataFrame) -> DataFrame:
     """Records of the selected index rows: page_id, url, record_type, digest, refers_to, payload."""
     bounded_batches(selected.sparkSession)
-    rows = selected.select("folder", "file", "offset", "length").repartition("file").sortWithinPartitions("folder", "file", "offset")
+    rows = selected.select("folder", "file", "offset", "length")
+    # Index rows are narrow: what they stand for says how many tasks read, and a task takes a run of places.
+    size = rows.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+    tasks = max(-(-(size["bytes"] or 0) // TASK_BYTES), rows.sparkSession.sparkContext.defaultParallelism)
+    order = ["folder", "file", "offset"]
+    rows = rows.repartitionByRange(max(1, min(tasks, size["n"])), *order).sortWithinPartitions(*order)
     schema = _arrow(RECORD)
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
