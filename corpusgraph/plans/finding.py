@@ -374,41 +374,48 @@ def resolve_links(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
-    """The events table as a stream, and a fresh folder for its outputs."""
-    schema = table(spark, sf, "events").schema
-    # A file source lists a folder or a pattern.
-    source = spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")
-    source = source.withColumn("ts", F.col("ts").cast("timestamp"))
-    return source, f"{checkpoint_root(spark)}/corpusgraph-stream-{uuid.uuid4().hex}"
+    """The events as a stream of four batches, each over the whole time, and a fresh folder for outputs."""
+    events = table(spark, sf, "events")
+    root = f"{checkpoint_root(spark)}/corpusgraph-stream-{uuid.uuid4().hex}"
+    for batch in range(4):  # one after the other: a file source takes the oldest first
+        events.filter(F.col("event_id") % 4 == batch).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    return source.withColumn("ts", F.col("ts").cast("timestamp")), root
 
 
 @query("stream_upsert", "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     source, root = _stream(spark, sf)
-    order = [F.desc("ts"), F.desc("event_id")]
-    J.stream_upsert(source, f"{root}/out", "user_id", order, f"{root}/state").awaitTermination()
-    return J.current(spark, f"{root}/out", "user_id", order).select("user_id", "event_id", "event_type")
+    J.stream_upsert(source, f"{root}/out", "user_id", [F.desc("ts"), F.desc("event_id")], f"{root}/state").awaitTermination()
+    return J.current(spark, f"{root}/out").select("user_id", "event_id", "event_type")
+
+
+# What batches 0 to 3 know of time when they begin.
+_SEEN = """seen AS (SELECT b, (SELECT max(ts) FROM events WHERE event_id % 4 < b) - INTERVAL 2 DAY AS mark FROM (SELECT unnest([0, 1, 2, 3]) AS b))"""
 
 
 @query(
     "stream_daily",
-    """SELECT strftime(d, '%Y-%m-%d') AS day, event_type AS kind, n, CAST(sum(n) OVER (PARTITION BY event_type ORDER BY d) AS BIGINT) AS total
-        FROM (SELECT date_trunc('day', ts) AS d, event_type, count(*) AS n FROM events GROUP BY ALL)""",
+    f"""WITH {_SEEN} SELECT strftime(d, '%Y-%m-%d') AS day, event_type AS kind, n, late, CAST(sum(n) OVER (PARTITION BY event_type ORDER BY d) AS BIGINT) AS total
+        FROM (SELECT date_trunc('day', ts) AS d, event_type, count(*) AS n, count(*) FILTER (WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= mark) AS late
+              FROM events JOIN seen ON b = event_id % 4 GROUP BY ALL)""",
 )
 def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
     source, root = _stream(spark, sf)
-    J.stream_daily(source, "ts", "event_type", "40 days", f"{root}/out", f"{root}/state").awaitTermination()
+    J.stream_daily(source, "ts", "event_type", "2 days", f"{root}/out", f"{root}/state").awaitTermination()
     counts = J.running_totals(J.window_counts(spark, f"{root}/out"))
-    return counts.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "kind", "n", "total")
+    return counts.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "kind", "n", "late", "total")
 
 
 @query(
     "stream_trailing",
-    """SELECT strftime(date_trunc('day', ts) - i * INTERVAL 1 DAY, '%Y-%m-%d') AS start, event_type AS kind, count(*) AS n
-        FROM events, generate_series(0, 6) g(i) GROUP BY ALL""",
+    f"""WITH {_SEEN}, w AS (SELECT b, event_type, date_trunc('day', ts) - i * INTERVAL 1 DAY AS start FROM events JOIN (SELECT event_id, event_id % 4 AS b FROM events) USING (event_id),
+          generate_series(0, 6) g(i))
+        SELECT strftime(start, '%Y-%m-%d') AS start, event_type AS kind, count(*) AS n, count(*) FILTER (WHERE start + INTERVAL 7 DAY <= mark) AS late
+        FROM w JOIN seen USING (b) GROUP BY ALL""",
 )
 def stream_trailing(spark: SparkSession, sf: str) -> DataFrame:
     source, root = _stream(spark, sf)
-    J.stream_trailing(source, "ts", "event_type", "40 days", f"{root}/out", f"{root}/state").awaitTermination()
+    J.stream_trailing(source, "ts", "event_type", "2 days", f"{root}/out", f"{root}/state").awaitTermination()
     counts = J.window_counts(spark, f"{root}/out")
-    return counts.select(F.date_format("start", "yyyy-MM-dd").alias("start"), "kind", "n")
+    return counts.select(F.date_format("start", "yyyy-MM-dd").alias("start"), "kind", "n", "late")

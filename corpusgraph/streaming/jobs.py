@@ -1,75 +1,99 @@
 """Continuous upserts and live activity counts.
 
-Each job appends one folder per micro-batch, overwritten when the batch is
-retried, so results are the same after a lost executor or a restart.
+Every micro-batch is merged into a `VersionedTable`: one row per key or window
+on disk, the same rows however often a batch is retried, and no history to
+read. Rows that come late change the windows they belong to, whatever their
+age; how many came behind the watermark is counted beside them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusgraph.functions.scale import top_k
+from corpusgraph.sources.versioned import VersionedTable
 
 
-def _sink(target: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+def _start(source: DataFrame, apply, checkpoint: str, trigger: dict) -> StreamingQuery:
+    stream = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return stream.trigger(**(trigger or {"availableNow": True})).start()
 
-    return write
 
+def stream_upsert(
+    source: DataFrame, target: str, key: str, order: list[Column], checkpoint: str, buckets: int = 16, **trigger
+) -> StreamingQuery:
+    """Keep the first row per key in `order` over all batches in the table at `target`; ties go to the later batch."""
+    VersionedTable(source.sparkSession, target).create(source.schema, [key], buckets)
 
-def stream_upsert(source: DataFrame, target: str, key: str, order: list[Column], checkpoint: str, **trigger) -> StreamingQuery:
-    """Append the latest row per key of every micro-batch to `target`."""
-    write = _sink(target)
+    def latest(rows: DataFrame, delta: DataFrame) -> DataFrame:
+        both = rows.withColumn("_new", F.lit(0)).unionByName(delta.withColumn("_new", F.lit(1)))
+        return top_k(both, [key], [*order, F.desc("_new")], 1, "_rn")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        latest = top_k(batch.filter(F.col(key).isNotNull()), [key], order, 1, "_rn").drop("_rn")
-        write(latest, batch_id)
+        # What one batch says of a key is settled before the table is read.
+        first = top_k(batch.filter(F.col(key).isNotNull()), [key], order, 1, "_rn").drop("_rn")
+        first = first.persist()
+        try:
+            VersionedTable(batch.sparkSession, target).apply(first, batch_id, latest, checkpoint)
+        finally:
+            first.unpersist()
 
-    stream = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return stream.trigger(**(trigger or {"availableNow": True})).start()
+    return _start(source, apply, checkpoint, trigger)
 
 
-def current(spark: SparkSession, target: str, key: str, order: list[Column]) -> DataFrame:
-    """The upserted table: latest row per key over all batches."""
-    rows = spark.read.option("basePath", target).parquet(f"{target}/batch=*")
-    return top_k(rows, [key], [*order, F.desc("batch")], 1, "_rn").drop("_rn", "batch")
+def current(spark: SparkSession, target: str) -> DataFrame:
+    """The upserted table."""
+    return VersionedTable(spark, target).read()
 
 
-def _windowed(source: DataFrame, ts: str, kind: str, watermark: str, window: Column) -> DataFrame:
-    counted = source.withWatermark(ts, watermark).groupBy(window.alias("w"), F.col(kind).alias("kind"))
-    return counted.agg(F.count("*").alias("n")).select(
-        F.col("w.start").alias("start"), F.col("w.end").alias("end"), "kind", "n"
-    )
+_COUNTS = T.StructType([
+    T.StructField("start", T.TimestampType()), T.StructField("end", T.TimestampType()), T.StructField("kind", T.StringType()),
+    T.StructField("n", T.LongType()), T.StructField("late", T.LongType()),
+])
 
 
-def _start(counts: DataFrame, target: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    stream = counts.writeStream.outputMode("update").foreachBatch(_sink(target))
-    stream = stream.option("checkpointLocation", checkpoint)
-    return stream.trigger(**(trigger or {"availableNow": True})).start()
+def stream_trailing(
+    source: DataFrame, ts: str, kind: str, watermark: str, target: str, checkpoint: str,
+    length: str = "7 days", slide: str = "1 day", buckets: int = 16, **trigger,
+) -> StreamingQuery:
+    """Activity per kind over a trailing window: rows per window and kind, and how many of them came behind the watermark.
 
+    The watermark is the latest time of all earlier batches less the interval `watermark`. A window that ended before it
+    was final for readers that do not look back; its late rows are merged all the same.
+    """
+    VersionedTable(source.sparkSession, target).create(_COUNTS, ["start", "kind"], buckets)
 
-def stream_daily(source: DataFrame, ts: str, kind: str, watermark: str, target: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """New rows per day and kind."""
-    counts = _windowed(source, ts, kind, watermark, F.window(ts, "1 day"))
-    return _start(counts, target, checkpoint, trigger)
+    def merged(rows: DataFrame, delta: DataFrame) -> DataFrame:
+        return rows.unionByName(delta).groupBy("start", "end", "kind").agg(F.sum("n").alias("n"), F.sum("late").alias("late"))
 
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        table = VersionedTable(batch.sparkSession, target)
+        seen = table.manifest()["notes"].get("latest")
+        behind = F.lit(False) if seen is None else F.col("w.end") <= F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {watermark}")
+        known = batch.filter(F.col(ts).isNotNull())
+        counts = known.groupBy(F.window(ts, length, slide).alias("w"), F.col(kind).cast("string").alias("kind")).agg(F.count("*").alias("n"))
+        counts = counts.select("w.start", "w.end", "kind", "n", F.when(behind, F.col("n")).otherwise(0).alias("late")).persist()
+        try:
+            newest = known.agg(F.max(ts).cast("string")).first()[0]
+            newest = max(x for x in (newest, seen) if x) if newest or seen else None
+            table.apply(counts, batch_id, merged, checkpoint, {"latest": newest})
+        finally:
+            counts.unpersist()
+
+    return _start(source, apply, checkpoint, trigger)
 
-def stream_trailing(
-    source: DataFrame, ts: str, kind: str, watermark: str, target: str, checkpoint: str,
-    length: str = "7 days", slide: str = "1 day", **trigger,
-) -> StreamingQuery:
-    """Activity per kind over a trailing window."""
-    counts = _windowed(source, ts, kind, watermark, F.window(ts, length, slide))
-    return _start(counts, target, checkpoint, trigger)
+
+def stream_daily(source: DataFrame, ts: str, kind: str, watermark: str, target: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """New rows per day and kind."""
+    return stream_trailing(source, ts, kind, watermark, target, checkpoint, "1 day", "1 day", **trigger)
 
 
 def window_counts(spark: SparkSession, target: str) -> DataFrame:
-    """start, end, kind, n as of the last batch that touched each window."""
-    rows = spark.read.option("basePath", target).parquet(f"{target}/batch=*")
-    return rows.groupBy("start", "end", "kind").agg(F.max_by("n", "batch").alias("n"))
+    """start, end, kind, n, late as of the last batch."""
+    return VersionedTable(spark, target).read()
 
 
 def running_totals(counts: DataFrame) -> DataFrame:
