@@ -193,6 +193,21 @@ def events_by_year(timeline: DataFrame) -> DataFrame:
     return years.withColumn("rank", F.row_number().over(order).cast("long"))
 
 
+def events_in_years(timeline: DataFrame, page_size: int = 1000) -> DataFrame:
+    """case, year, page, events: the events of every year in order, long years in pages."""
+    rows = timeline.withColumn("year", F.substring("iso", 1, 4))
+    event = F.struct(F.col("iso").alias("date"), "display", "precision", "description", "note")
+    return paged(rows, ["case", "year"], event_order(), event, page_size, "events")
+
+
+def event_map(index: DataFrame, page_size: int = 1000) -> DataFrame:
+    """folder, path, page, events: the event index as lists by note path, long ones in pages, for `write_event_map`."""
+    folder = F.split_part("path", F.lit("/"), F.lit(1))
+    event = F.struct(F.col("iso").alias("date"), *[c for c in ("display", "precision", "description", "source") if c in index.columns])
+    pages = paged(index, ["path"], [F.asc("rank")], event, page_size, "events")
+    return pages.select(folder.alias("folder"), "path", "page", "events")
+
+
 def richest_case(timeline: DataFrame) -> DataFrame:
     """The case with most events."""
     return timeline.groupBy("case").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "case").limit(1)

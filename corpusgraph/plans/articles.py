@@ -6,6 +6,7 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusgraph.functions import text as T
@@ -273,6 +274,18 @@ def events_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return C.events_by_year(CaseTables(spark, sf).timeline)
 
 
+@query(
+    "events_in_years",
+    """SELECT "case", left(iso, 4) AS year, (k - 1) // 100 AS page, string_agg(iso || ' ' || description || ' ' || note, '|' ORDER BY k) AS events
+        FROM (SELECT *, row_number() OVER (PARTITION BY "case", left(iso, 4) ORDER BY iso, doc_id, ev_pos) AS k FROM d_timeline) GROUP BY ALL""",
+)
+def events_in_years(spark: SparkSession, sf: str) -> DataFrame:
+    """The lists that a timeline shows year by year."""
+    pages = C.events_in_years(CaseTables(spark, sf).timeline, 100)
+    shown = F.array_join(F.transform("events", lambda e: F.concat_ws(" ", e["date"], e["description"], e["note"])), "|")
+    return pages.select("case", "year", "page", shown.alias("events"))
+
+
 @query("richest_case", 'SELECT "case", count(*) AS n FROM d_timeline GROUP BY 1 ORDER BY n DESC, "case" LIMIT 1')
 def richest_case(spark: SparkSession, sf: str) -> DataFrame:
     return C.richest_case(CaseTables(spark, sf).timeline)
@@ -328,6 +341,24 @@ def event_index(spark: SparkSession, sf: str) -> DataFrame:
     return C.event_index(own, ents, cases).select("path", "rank", "iso", "description", "source")
 
 
+@query(
+    "event_lookup",
+    """WITH notes AS (SELECT note FROM d_articles WHERE doc_id IN (SELECT min(doc_id) FROM d_events UNION SELECT max(doc_id) FROM d_events))
+        SELECT 'Reporting/' || note || '.md' AS path, row_number() OVER (PARTITION BY note ORDER BY iso, ev_pos) AS rank, iso, description
+        FROM d_events JOIN d_articles USING (doc_id) WHERE note IN (SELECT note FROM notes)""",
+)
+def event_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The event index of all articles written out, and two notes looked up in it."""
+    t = CaseTables(spark, sf)
+    own = t.extracted.join(t.articles.select("doc_id", "note"), "doc_id")
+    order = W.partitionBy("note").orderBy("iso", "ev_pos")
+    rows = own.select(F.concat(F.lit("Reporting/"), "note", F.lit(".md")).alias("path"), F.row_number().over(order).cast("long").alias("rank"), "iso", "description")
+    path = f"{checkpoint_root(spark)}/corpusgraph-{uuid.uuid4().hex}/events"
+    S.write_event_index(rows, path)
+    ends = own.agg(F.min_by("note", "doc_id").alias("a"), F.max_by("note", "doc_id").alias("b")).first()
+    return S.read_note_events(spark, path, *[f"Reporting/{note}.md" for note in ends])
+
+
 @query(
     "hubs",
     """WITH r AS (SELECT name, note, row_number() OVER (PARTITION BY name ORDER BY note) AS k, count(*) OVER (PARTITION BY name) AS article_count

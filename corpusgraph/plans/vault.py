@@ -181,7 +181,11 @@ def best_neighbour(spark: SparkSession, sf: str) -> DataFrame:
     return G.best_neighbour(links, G.degree(K.nodes(spark, sf), links))
 
 
-@query("orphans", "SELECT id, folder FROM d_nodes JOIN d_degree USING (id) WHERE degree = 0")
+@query(
+    "orphans",
+    """WITH n AS MATERIALIZED (SELECT id, folder FROM d_nodes), e AS MATERIALIZED (SELECT source AS id FROM d_links UNION SELECT target FROM d_links)
+        SELECT id, folder FROM n ANTI JOIN e USING (id)""",
+)
 def orphans(spark: SparkSession, sf: str) -> DataFrame:
     return G.orphans(K.nodes(spark, sf), K.links(spark, sf))
 
@@ -287,7 +291,11 @@ def visible_nodes(spark: SparkSession, sf: str) -> DataFrame:
     return _visible(spark, sf)[0].select("id")
 
 
-@query("visible_links", f"SELECT source, target FROM d_links WHERE source IN ({_SEEN}) AND target IN ({_SEEN})")
+@query(
+    "visible_links",
+    f"""WITH seen AS MATERIALIZED ({_SEEN}), l AS MATERIALIZED (SELECT source, target FROM d_links)
+        SELECT source, target FROM l JOIN seen a ON a.id = source JOIN seen b ON b.id = target""",
+)
 def visible_links(spark: SparkSession, sf: str) -> DataFrame:
     return _visible(spark, sf)[1].select("source", "target")
 
