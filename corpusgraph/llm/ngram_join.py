@@ -296,18 +296,21 @@ def _texts(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: int, name:
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """a, b, at_a, at_b (where their texts are) of the pairs (a, b) whose sizes and bitmaps leave a similarity of `percent` open."""
+    """a, b, at_a, at_b (where their texts are), n_a, n_b of the pairs (a, b) whose sizes and bitmaps leave a similarity of `percent` open."""
     ends = []
     for end in ("a", "b"):
         cells = [F.col("bits")[i].alias(f"{end}_bits{i}") for i in range(BITMAP)]
-        ends.append(classes.select(F.col("one").alias(end), F.col("n").alias(f"{end}_n"), _at().alias(f"at_{end}"), *cells))
+        ends.append(classes.select(F.col("one").alias(end), F.col("n").alias(f"n_{end}"), _at().alias(f"at_{end}"), *cells))
     rows = pairs.join(ends[0], "a").join(ends[1], "b")
     differ = sum((F.bit_count(F.col(f"a_bits{i}").bitwiseXOR(F.col(f"b_bits{i}"))) for i in range(1, BITMAP)), F.bit_count(F.col("a_bits0").bitwiseXOR(F.col("b_bits0"))))
-    both = F.col("a_n") + F.col("b_n")
+    both = F.col("n_a") + F.col("n_b")
     need = F.ceil(both * percent / (100 + percent))
-    sized = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
+    sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     # A digest may stand for two sets by chance; such a pair is met once.
-    return rows.filter(sized & (differ <= both - 2 * need)).select("a", "b", "at_a", "at_b").distinct()
+    return rows.filter(sized & (differ <= both - 2 * need)).select(*_PAIR).distinct()
+
+
+_PAIR = ("a", "b", "at_a", "at_b", "n_a", "n_b")
 
 
 def _at() -> Column:
@@ -315,10 +318,10 @@ def _at() -> Column:
 
 
 def _placed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) with at_a and at_b."""
+    """The pairs (a, b) with where their texts are, and the sizes of their sets."""
     for end in ("a", "b"):
-        pairs = pairs.join(classes.select(F.col("one").alias(end), _at().alias(f"at_{end}")), end)
-    return pairs.select("a", "b", "at_a", "at_b").distinct()
+        pairs = pairs.join(classes.select(F.col("one").alias(end), _at().alias(f"at_{end}"), F.col("n").alias(f"n_{end}")), end)
+    return pairs.select(*_PAIR).distinct()
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -332,24 +335,26 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def _compare(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """a, b, common, total (size of the union) of class pairs, from the texts of one document of each class.
 
-    The texts lie in buckets: only that of b travels, once per pair, to the bucket of a.
+    The texts lie in buckets: only one of a pair travels, that of the smaller set y, to the bucket of the other, x.
     """
-    left = texts.select(F.col("at").alias("at_a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("at").alias("at_b"), F.col("text").alias("text_b"))
-    both = pairs.join(right, "at_b").join(left, "at_a").select("a", "b", "text_a", "text_b")
+    stays = F.col("n_a") >= F.col("n_b")
+    ends = [F.when(stays, F.col(f"{p}{k}")).otherwise(F.col(f"{p}{o}")).alias(f"{p}{e}") for e, k, o in (("x", "a", "b"), ("y", "b", "a")) for p in ("", "at_")]
+    left = texts.select(F.col("at").alias("at_x"), F.col("text").alias("text_x"))
+    right = texts.select(F.col("at").alias("at_y"), F.col("text").alias("text_y"))
+    both = pairs.select("a", "b", *ends).join(right, "at_y").join(left, "at_x").select("a", "b", "x", "y", "text_x", "text_y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int | None, np.ndarray] = (None, np.zeros(0, U64))
         for batch in batches:
-            for part in slices(batch, 3):
-                a, b = part.column(0).to_pylist(), part.column(1).to_pylist()
+            for part in slices(batch, 5):
+                a, b, x, y = (part.column(i).to_pylist() for i in range(4))
                 out = []
-                for i, mine in sets(*buffers(part.column(3)), n):
-                    if a[i] != last[0]:
-                        one = [s for _, s in sets(*buffers(part.column(2).slice(i, 1)), n)]
+                for i, mine in sets(*buffers(part.column(5)), n):
+                    if x[i] != last[0]:
+                        one = [s for _, s in sets(*buffers(part.column(4).slice(i, 1)), n)]
                         # A document id may stand for several texts; only the class's own text counts.
-                        last = (a[i], one[0]) if one and digest(one[0])[0] == a[i] else (None, np.zeros(0, U64))
-                    if len(last[1]) and digest(mine)[0] == b[i]:
+                        last = (x[i], one[0]) if one and digest(one[0])[0] == x[i] else (None, np.zeros(0, U64))
+                    if len(last[1]) and digest(mine)[0] == y[i]:
                         common = len(np.intersect1d(last[1], mine, assume_unique=True))
                         out.append((a[i], b[i], common, len(last[1]) + len(mine) - common))
                 if out:
@@ -414,6 +419,10 @@ def _open_pairs(parts: DataFrame, known: DataFrame, classes: DataFrame, percent:
     A pair shares many lists, and every bound holds in each of them, so one list decides: the smallest that both
     classes' few smallest lists have in common. Where those have none in common, the pair is formed in every list.
     """
+    # Members that are too large or small for all of their list's that are apart from most go before anything is joined.
+    ranges = parts.filter("part <> top").groupBy("gram").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    near = (F.col("size") * 100 >= F.col("low") * percent) & (F.col("high") * 100 >= F.col("size") * percent)
+    parts = cut(parts.join(ranges, "gram").filter(near).select(*parts.columns))
     far = known.select(F.col("a").alias("leader"), F.col("b").alias("key"), (1 - F.col("common") / F.col("total")).alias("away"))
     rows = parts.join(far.groupBy("leader", "key").agg(F.min("away").alias("away")), ["leader", "key"], "left")
     rows = rows.withColumn("away", F.when(F.col("leader") == F.col("key"), 0.0).otherwise(F.col("away")))
@@ -470,7 +479,7 @@ def jaccard_components(
     release(docs.sparkSession)
     linked = F.col("common") * 100 >= F.col("total") * percent
     # One leader of each member first; the others only where that did not bring the two together.
-    first = stars.groupBy("b").agg(F.min_by(F.struct("a", "at_a"), "a").alias("x"), F.first("at_b").alias("at_b")).select("x.a", "b", "x.at_a", "at_b")
+    first = stars.groupBy("b").agg(F.min_by(F.struct(*_PAIR), "a").alias("x")).select(*[f"x.{c}" for c in _PAIR])
     met = _compare(first, texts, n)
     labels = _merged(None, met.filter(linked))
     others = _compare(_apart(stars, labels).join(met, ["a", "b"], "left_anti"), texts, n)
