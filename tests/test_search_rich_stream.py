@@ -247,3 +247,26 @@ def test_discard(spark):
     import os
 
     assert not os.path.exists(path.removeprefix("file:").replace("//", "/"))
+
+
+def test_rich_text_malformed_deep_and_text_ids(spark, rows):
+    deep = {"type": "text", "text": "deep"}
+    for _ in range(30):
+        deep = {"type": "x", "children": [None, 5, deep]}
+    deep = {"root": {"type": "root", "children": [{"type": "paragraph", "children": [deep, {"type": "link", "fields": {"url": "u"}, "children": [
+        {"type": "text", "text": "a"}, {"type": "link", "fields": {"url": "v"}, "children": [{"type": "text", "text": "b"}]}, {"type": "text", "text": "c"}]}]}]}}
+    posts = [("p", '{"root": '), ("q", json.dumps(deep)), ("r", "[1]"), ("s", ""), ("t", None), ("u", "nope"), ("v", json.dumps(TREE))]
+    nodes = RT.rt_nodes(spark.createDataFrame(posts, "doc_id string, content string"))
+    wrong = {r.doc_id: r.error for r in nodes.filter("error IS NOT NULL").collect()}
+    assert set(wrong) == {"p", "u"}
+    assert rows(RT.richtext_text(nodes), "doc_id", "text") == [
+        ("p", ""), ("q", "deep a b c"), ("r", ""), ("s", ""), ("t", ""), ("u", ""), ("v", "Plan bold he re one in two boxed loose"),
+    ]
+    assert rows(RT.richtext_links(nodes).filter("doc_id = 'q'"), "url", "label") == [("u", "abc"), ("v", "b")] or rows(
+        RT.richtext_links(nodes).filter("doc_id = 'q'"), "url", "label") == [("u", "ac"), ("v", "b")]
+    # Both ways through a tree give the same rows.
+    own = spark.createDataFrame([(1, json.dumps(TREE)), (2, json.dumps(deep)), (3, "{}"), (4, "[]")], "doc_id long, content string")
+    assert rows(RT.rt_nodes(own)) == rows(RT._walked(own))
+    assert "MapInPandas" not in RT.rt_nodes(own)._jdf.queryExecution().executedPlan().toString()
+    variant = own.selectExpr("doc_id", "parse_json(content) AS content")
+    assert rows(RT.rt_nodes(variant)) == rows(RT._walked(own))
