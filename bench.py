@@ -23,6 +23,7 @@ HEADLINE = [
     "build_links", "excerpts", "degree", "tiers", "components", "shortest_path", "siblings", "visible_links",
     "tag_pairs", "venn_assign", "timelapse_frames",
     "term_search", "bm25_fuzzy", "snippets", "cosine_topk", "richtext_blocks", "stream_daily",
+    "notes_scan", "similar_notes", "stream_upsert",
 ]
 
 
