@@ -87,7 +87,7 @@ def prefix_length(size: int, percent: int) -> int:
 #: Longs of the parity bitmap of a set.
 BITMAP = 16
 #: Smallest lists of a class that go along with it, to tell in which list a pair was met before.
-FIRST_LISTS = 8
+FIRST_LISTS = 6
 
 
 def parities(own: np.ndarray) -> list[int]:
@@ -430,13 +430,18 @@ def _open_pairs(parts: DataFrame, known: DataFrame, classes: DataFrame, percent:
     cells = cells.join(parts.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     # A class has at most as many lists as its own prefix has n-grams.
     own = parts.groupBy("key").agg(F.slice(F.array_sort(F.collect_set("gram")), 1, FIRST_LISTS).alias("lists"))
-    rows = cut(rows.join(cells.join(own, "key"), "key").select(*rows.columns, "lists", *[F.col("bits")[i].alias(f"bits{i}") for i in range(BITMAP)]))
+    # These rows are wide and many: size and place share one number.
+    spot = F.shiftleft("size", 32).bitwiseOR(F.col("place")).alias("spot")
+    narrow = [c for c in rows.columns if c not in ("size", "place")]
+    rows = cut(rows.join(cells.join(own, "key"), "key").select(*narrow, spot, "lists", *[F.col("bits")[i].alias(f"bits{i}") for i in range(BITMAP)]))
     other = rows.select("gram", *[F.col(c).alias(f"o_{c}") for c in rows.columns if c not in ("gram", "top")])
     differ = sum((F.bit_count(F.col(f"bits{i}").bitwiseXOR(F.col(f"o_bits{i}"))) for i in range(1, BITMAP)), F.bit_count(F.col("bits0").bitwiseXOR(F.col("o_bits0"))))
-    small, large = F.least("size", "o_size"), F.greatest("size", "o_size")
-    need = F.ceil((F.col("size") + F.col("o_size")) * percent / (100 + percent))
+    size, o_size = F.shiftright("spot", 32), F.shiftright("o_spot", 32)
+    place, o_place = F.col("spot").bitwiseAND(0xFFFFFFFF), F.col("o_spot").bitwiseAND(0xFFFFFFFF)
+    small, large = F.least(size, o_size), F.greatest(size, o_size)
+    need = F.ceil((size + o_size) * percent / (100 + percent))
     # Common n-grams before this one are at most the smaller place, those from here on at most the shorter rest.
-    reach = F.least("place", "o_place") + F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place"))
+    reach = F.least(place, o_place) + F.least(size - place, o_size - o_place)
     apart_by_leader = (F.col("leader") == F.col("o_leader")) & (F.abs(F.col("away") - F.col("o_away")) > (100 - percent) / 100 + 1e-9)
     pairs = rows.filter("part <> top").join(other, "gram").filter(
         (F.col("part") != F.col("o_part"))
@@ -444,7 +449,7 @@ def _open_pairs(parts: DataFrame, known: DataFrame, classes: DataFrame, percent:
         & ((F.col("o_part") == F.col("top")) | (F.col("key") < F.col("o_key")))
         & (small * 100 >= large * percent)
         & (reach >= need)
-        & (differ <= F.col("size") + F.col("o_size") - 2 * need)
+        & (differ <= size + o_size - 2 * need)
         & ~F.coalesce(apart_by_leader, F.lit(False))
         & (F.col("gram") <= F.coalesce(F.array_min(F.array_intersect("lists", "o_lists")), F.col("gram")))
     )
