@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusgraph.functions.scale import cut
+from corpusgraph.functions.scale import cut_light as cut
 from corpusgraph.llm.common import BINARY, DOUBLE, LONG, STRING, U64, annotate, bounded_batches, buffers, mix, quoted, record, slices
 
 HIDDEN = 6

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusgraph.functions.scale import checkpoint_root, cut, discard
+from corpusgraph.functions.scale import checkpoint_root, cut_light as cut, discard
 from corpusgraph.llm.common import (
     BINARY, LONG, LOWER, NOT_BLANK, U64, Words, annotate, bounded_batches, buffers, grams, mix, quoted, record, release, sequence_hash, slices, words,
 )

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusgraph.functions.scale import cut, once
+from corpusgraph.functions.scale import cut_light as cut, once
 
 # Single characters below 256 make the fastest classes, ranges do not.
 BLANK = r"[ \t\n\x0B\f\r]"

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusgraph.functions.scale import cut
+from corpusgraph.functions.scale import cut_light as cut
 from corpusgraph.llm.common import BINARY, LONG, U64, bounded_batches, buffers, mix, powers, record, slices
 
 KGRAM = 32

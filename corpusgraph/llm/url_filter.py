@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusgraph.functions.scale import cut, discard
+from corpusgraph.functions.scale import cut_light as cut, discard
 from corpusgraph.llm.common import quoted
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

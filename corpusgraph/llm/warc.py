@@ -26,7 +26,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusgraph.functions.scale import checkpoint_root, cut
+from corpusgraph.functions.scale import checkpoint_root, cut_light as cut
 from corpusgraph.llm.common import BINARY, LONG, STRING, bounded_batches, record
 
 INDEX = record(page_id=LONG, url=STRING, record_type=STRING, digest=STRING, file=STRING, offset=LONG, length=LONG)
