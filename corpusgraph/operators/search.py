@@ -123,27 +123,41 @@ def _pieces(terms: DataFrame, fuzzy: float, most: int) -> DataFrame:
     return rows.select(F.explode(F.array_distinct(F.transform(masks, kept))).alias("piece"), "term")
 
 
+def _counted(tokens: Column) -> Column:
+    """(term, tf) of each distinct token of a sorted array: a term reaches from where it starts to where the next one does."""
+    starts = F.array_compact(F.transform(tokens, lambda t, i: F.when((i == 0) | (t != F.get(tokens, i - 1)), i)))
+
+    def counts(found: Column) -> Column:
+        return F.transform(
+            found, lambda s, j: F.struct(F.get(tokens, s).alias("term"), (F.coalesce(F.get(found, j + 1), F.size(tokens)) - s).cast("long").alias("tf"))
+        )
+
+    # Bound by a lambda, the places are worked out once per text.
+    return F.flatten(F.transform(F.array(starts), counts))
+
+
 def build_index(docs: DataFrame, fields: tuple[str, ...] = ("title", "content"), fuzzy: float = 0.2, max_distance: int = 6) -> TextIndex:
     """Tables of an inverted index over `docs(id, <fields>)`, written once and read by every search.
 
-    Term counts are summed inside each document before the shuffle; a field's
-    length is its number of distinct terms. Postings are dealt out by ranges of
-    (term, id), so a term that every document has is no task's alone.
+    A text is cut once, and its terms are counted inside its row, so no task holds the terms of many texts; the counts
+    are written, as dealing them out reads them twice. A field's length is its number of distinct terms. Postings are
+    dealt out by ranges of (term, id), so a term that every document has is no task's alone.
     """
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     rows = docs.select("id", F.inline(pairs)).filter("text IS NOT NULL")
-    tokens = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))
-    tokenised = once(rows, tokens=tokens).select("id", "field", "tokens", F.size(F.array_distinct("tokens")).cast("long").alias("length"))
-    lengths = cut(tokenised.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_length")))
-    counted = (
-        tokenised.select("id", "field", "length", F.explode("tokens").alias("term"))
-        .groupBy("term", "field", "id")
-        .agg(F.count("*").alias("tf"), F.max("length").alias("length"))
-    )
-    ranges = counted.repartitionByRange("term", "id").sortWithinPartitions("term", "field", "id").withColumn("part", F.spark_partition_id())
-    postings = cut(ranges, "part")
-    terms = _sorted(postings.groupBy("term", "field", "part").agg(F.count("*").alias("df")), "term")
-    pieces = _sorted(_pieces(terms.select("term").distinct(), fuzzy, max_distance), "piece")
+    tokens = F.sort_array(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)))
+    counts = once(once(rows, tokens=tokens), terms=_counted(F.col("tokens")))
+    held = cut(counts.select("id", "field", F.size("terms").cast("long").alias("length"), "terms"))
+    lengths = cut(held.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_length")))
+    counted = held.select("id", "field", "length", F.inline("terms"))
+    if held.groupBy("id", "field").count().filter("count > 1").head(1):
+        # Rows of one id are one document.
+        counted = counted.groupBy("id", "field", "term").agg(F.max("length").alias("length"), F.sum("tf").alias("tf"))
+    ranges = counted.select("term", "field", "id", "tf", "length").repartitionByRange("term", "id").withColumn("part", F.spark_partition_id())
+    # Sorted by the folder first, as they are written: no second sort.
+    postings = cut(ranges.sortWithinPartitions("part", "term", "field", "id"), "part")
+    terms = _sorted(cut(postings.groupBy("term", "field", "part").agg(F.count("*").alias("df"))), "term")
+    pieces = _sorted(cut(_pieces(terms.select("term").distinct(), fuzzy, max_distance)), "piece")
     return TextIndex(postings, terms, pieces, lengths, fuzzy)
 
 

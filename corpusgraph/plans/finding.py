@@ -81,9 +81,9 @@ def _bm25_sql(query_text: str, fuzzy: float, prefix: bool, k: int | None) -> str
 
 
 def _index(spark: SparkSession, sf: str) -> S.TextIndex:
-    nodes = _nodes(spark, sf).select("id", F.col("label").alias("title"))
-    texts = N.bodies(K.document_notes(spark, sf)).withColumnRenamed("body", "content")
-    return S.build_index(nodes.join(texts, "id"))
+    path, body = F.col("path"), F.col("body")
+    fields = [N.note_title(body, path).alias("title"), N.note_text(body).alias("content")]
+    return S.build_index(K.document_notes(spark, sf).select(N.note_id(path).alias("id"), *fields))
 
 
 @query("bm25", f"WITH {_bm25_sql('anon thestha', 0, False, 10)} SELECT id, round(score, 6) AS score FROM hits")
