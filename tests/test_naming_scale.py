@@ -7,6 +7,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from corpusgraph.functions import scale
+from corpusgraph.functions.scale import contains_join
 from corpusgraph.functions.text import BLANKS, UNEVEN, WS, squeeze
 from corpusgraph.operators import corpus as C
 from corpusgraph.operators import extract as X
@@ -48,6 +50,18 @@ def test_events_of_named_entities_as_by_the_joins(spark):
     assert _plan(found).count("Exchange") == _plan(files).count("Exchange")
 
 
+def test_few_patterns_are_tried_as_they_are(spark, monkeypatch):
+    left = spark.createDataFrame([(i, "a" if i % 2 else None, f"word{i} Überfluß x{i}y zz") for i in range(40)] + [(99, "a", None)], "id int, k string, t string")
+    right = spark.createDataFrame([("a", p) for p in ("word1", "word1", "x3", "z", " ", "", "fluß x7y", None)] + [("b", "word2"), (None, "x")], "k string, p string")
+    plain = contains_join(left, "t", right, "p", ["k"])
+    assert "Generate" not in _plan(plain)
+    few = sorted((r.id, r.p) for r in plain.collect())
+    free = sorted((r.id, r.k or "", r.p) for r in contains_join(left, "t", right.select("p"), "p").collect())
+    monkeypatch.setattr(scale, "_TRIED", 0)
+    assert few == sorted((r.id, r.p) for r in contains_join(left, "t", right, "p", ["k"]).collect())
+    assert free == sorted((r.id, r.k or "", r.p) for r in contains_join(left, "t", right.select("p"), "p").collect())
+
+
 @pytest.fixture(scope="module")
 def odd(tmp_path_factory):
     """The smallest tables with missing, doubled and unnamed rows."""
@@ -66,7 +80,7 @@ def odd(tmp_path_factory):
     return str(folder), con
 
 
-@pytest.mark.parametrize("name", ["entity_events"])
+@pytest.mark.parametrize("name", ["entity_events", "case_membership"])
 def test_missing_and_doubled_rows_as_in_sql(spark, odd, name):
     folder, con = odd
     got = QUERIES[name](spark, folder)
