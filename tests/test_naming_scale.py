@@ -80,7 +80,7 @@ def odd(tmp_path_factory):
     return str(folder), con
 
 
-@pytest.mark.parametrize("name", ["entity_events", "case_membership", "entity_cases"])
+@pytest.mark.parametrize("name", ["entity_events", "case_membership", "entity_cases", "case_parties"])
 def test_missing_and_doubled_rows_as_in_sql(spark, odd, name):
     folder, con = odd
     got = QUERIES[name](spark, folder)
