@@ -58,3 +58,13 @@ def test_event_key_drops_what_is_no_letter_digit_or_space(spark):
     text = "It's A_B-cé 9\tİK\U0001f600  z"
     got = spark.createDataFrame([(text,)], "description string").select(C._event_key(None), F.regexp_replace(F.lower("description"), "[^a-z0-9 ]", "")).first()
     assert got[0] == got[1]
+
+
+def test_written_events_serve_cases_too(spark, monkeypatch):
+    """With all events written for the index, those of cases are not worked out again."""
+    extracted = []
+    monkeypatch.setattr(X, "extract_events", lambda docs, *a, **k: extracted.append(1) or docs.select("doc_id", F.lit(0).alias("ev_pos"), *[F.lit("2000-01-01").alias(c) for c in ("iso", "display", "precision", "description")], "note", "published_at"))
+    tables = A.CaseTables(spark, "/root/testdata/sf0.001")
+    assert tables.told is tables.told
+    tables.events
+    assert len(extracted) == 1
